@@ -1,0 +1,28 @@
+"""The derived log relation (one row per event) and its flagship query."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/events.parquet")
+
+
+def flagship_severity_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Count of records in a time range at severity 9 or above."""
+    e = events(spark, sf_dir)
+    return (
+        e.where((F.col("ts") >= "2024-01-08") & (F.col("ts") <= "2024-01-20"))
+        .where(F.col("event_type").isin("error", "purchase", "signup"))
+        .agg(F.count("*").alias("n"))
+    )
+
+
+QUERIES = {"flagship_severity_window": flagship_severity_window}
+ORACLES = {
+    "flagship_severity_window": """
+        SELECT count(*) AS n FROM events
+        WHERE ts BETWEEN TIMESTAMP '2024-01-08' AND TIMESTAMP '2024-01-20'
+          AND event_type IN ('error', 'purchase', 'signup')"""
+}
