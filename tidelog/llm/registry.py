@@ -4,20 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelog.llm import pii, shared, sharding
+from tidelog.llm import perplexity, pii, shared, sharding
 
 
 def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(shared.documents(spark, sf_dir))
 
 
+def op3_perplexity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = perplexity.judged(shared.documents(spark, sf_dir).select("doc_id", "text", "lang"))
+    return judged.select("doc_id", *perplexity.RESULTS, "base_failed", "kept", "perplexity")
+
+
 def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detected(shared.documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_feistel_shards, op7_boosted_pii)}
+    return {f.__name__: f for f in (op2_feistel_shards, op3_perplexity_bands, op7_boosted_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
