@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelog.llm import perplexity, pii, shared, sharding
+from tidelog.llm import bpe, perplexity, pii, shared, sharding
 
 
 def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,13 +16,18 @@ def op3_perplexity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *perplexity.RESULTS, "base_failed", "kept", "perplexity")
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe.decoded(bpe.encoded(shared.documents(spark, sf_dir).select("doc_id", "text")))
+    return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detected(shared.documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_feistel_shards, op3_perplexity_bands, op7_boosted_pii)}
+    return {f.__name__: f for f in (op2_feistel_shards, op3_perplexity_bands, op4_byte_bpe, op7_boosted_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
