@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelog.llm import bpe, perplexity, pii, shared, sharding
+from tidelog.llm import bpe, labelled, perplexity, pii, quality, shared, sharding, toxicity
 
 
 def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,8 +26,22 @@ def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
+def _classified(module, spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = shared.documents(spark, sf_dir).select("doc_id", "text")
+    model = module.fitted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return module.scored(docs, model).select("doc_id", labelled.held_out().alias("held_out"), "score", "predicted")
+
+
+def op8_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(quality, spark, sf_dir)
+
+
+def op9_fm_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _classified(toxicity, spark, sf_dir)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_feistel_shards, op3_perplexity_bands, op4_byte_bpe, op7_boosted_pii)}
+    return {f.__name__: f for f in (op2_feistel_shards, op3_perplexity_bands, op4_byte_bpe, op7_boosted_pii, op8_nbsvm_quality, op9_fm_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
