@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelog.llm import bpe, labelled, perplexity, pii, quality, shared, sharding, toxicity
+from tidelog.llm import bpe, labelled, neardup, perplexity, pii, quality, shared, sharding, toxicity
 
 
 def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,8 +40,21 @@ def op9_fm_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(toxicity, spark, sf_dir)
 
 
+def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(shared.documents(spark, sf_dir)).select("doc_id", "class_id", "class_size", "kept")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_feistel_shards, op3_perplexity_bands, op4_byte_bpe, op7_boosted_pii, op8_nbsvm_quality, op9_fm_toxicity)}
+    known = (
+        op2_feistel_shards,
+        op3_perplexity_bands,
+        op4_byte_bpe,
+        op7_boosted_pii,
+        op8_nbsvm_quality,
+        op9_fm_toxicity,
+        op10_bagminhash,
+    )
+    return {f.__name__: f for f in known}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -33,8 +33,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row + 1, bytes, offsets) for runs of rows of a string column."""
+def slices(column: pa.Array, limit: int = SLICE, rows: int = 1 << 13) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, last row + 1, bytes, offsets) for runs of at most so many rows of a string column."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):
@@ -52,7 +52,7 @@ def slices(column: pa.Array, limit: int = SLICE) -> Iterator[tuple[int, int, np.
     at = 0
     while at < n:
         to = int(np.searchsorted(offsets, offsets[at] + limit, "right")) - 1
-        to = min(n, max(to, at + 1))
+        to = min(n, max(to, at + 1), at + rows)
         yield at, to, body[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
         at = to
 
