@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelog.llm import bpe, labelled, neardup, perplexity, pii, quality, shared, sharding, toxicity
+from tidelog.llm import bpe, decontamination, labelled, neardup, perplexity, pii, quality, shared, sharding, toxicity
 
 
 def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = shared.documents(spark, sf_dir).select("doc_id", "text")
+    return decontamination.passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detected(shared.documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
@@ -49,6 +54,7 @@ def queries() -> dict:
         op2_feistel_shards,
         op3_perplexity_bands,
         op4_byte_bpe,
+        op5_spaced_seeds,
         op7_boosted_pii,
         op8_nbsvm_quality,
         op9_fm_toxicity,
