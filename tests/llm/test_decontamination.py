@@ -1,26 +1,30 @@
 import random
 import re
 
+import numpy as np
+
 from tidelog.llm import decontamination as dc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def brute(docs, items):
-    """(row, item) pairs by aligning every window of every item with every place of every text."""
-    out = set()
+    """(row, item) pairs by laying every item at every place of every text."""
+    out, number = set(), {}
+    numbers = lambda text: [number.setdefault(x, len(number) + 1) for x in WORD.findall((text or "").lower())]
+    bench = [(i, numbers(item)) for i, item in items]
     for d, text in docs:
-        w = WORD.findall((text or "").lower())
-        for i, item in items:
-            g = WORD.findall((item or "").lower())
-            if len(g) < dc.LEAST_WORDS:
+        w = numbers(text)
+        for i, g in bench:
+            n = len(g)
+            if n < dc.LEAST_WORDS:
                 continue
-            size = min(dc.WINDOW, len(g))
-            need = len(g) if len(g) < dc.SPAN else -(-size * 4 // 5)
-            for s in range(len(g) - size + 1):
-                for p in range(-size, len(w)):
-                    if sum(0 <= p + k < len(w) and w[p + k] == g[s + k] for k in range(size)) >= need:
-                        out.add((d, i))
+            size = min(dc.WINDOW, n)
+            need = n if n < dc.SPAN else -(-size * 4 // 5)
+            laid = np.lib.stride_tricks.sliding_window_view(np.array([0] * n + w + [0] * n), n) == np.array(g)
+            total = np.concatenate([np.zeros((len(laid), 1), int), laid.cumsum(1)], 1)
+            if (total[:, size:] - total[:, :-size]).max() >= need:
+                out.add((d, i))
     return out
 
 

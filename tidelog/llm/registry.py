@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidelog.llm import bpe, decontamination, labelled, neardup, perplexity, pii, quality, shared, sharding, toxicity
+from tidelog.llm import bpe, decontamination, htmltext, labelled, licenses, neardup, perplexity, pii, quality, shared, sharding, toxicity
+
+
+def op1_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shared.small_batches(spark)
+    text = htmltext.extracted(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html"))
+    return text.select("page_id", "text", F.char_length("text").cast("long").alias("n_chars"), F.size(F.split("text", "\n")).cast("long").alias("n_lines"))
 
 
 def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +32,10 @@ def op5_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op6_license_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(shared.documents(spark, sf_dir))
+
+
 def op7_boosted_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.detected(shared.documents(spark, sf_dir).select("doc_id", "text"))
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
@@ -51,10 +61,12 @@ def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     known = (
+        op1_html_layout,
         op2_feistel_shards,
         op3_perplexity_bands,
         op4_byte_bpe,
         op5_spaced_seeds,
+        op6_license_paragraphs,
         op7_boosted_pii,
         op8_nbsvm_quality,
         op9_fm_toxicity,

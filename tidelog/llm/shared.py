@@ -37,5 +37,16 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows and bytes of an Arrow batch, so that a worker's memory doesn't follow the texts' length.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark hand texts to Python workers in batches of bounded rows and bytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
