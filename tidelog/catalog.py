@@ -6,12 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.operators import base
+from tidelog.operators import envelope, frontier, metrics, planning, search, table, values
+
+MODULES = (search, table, planning, envelope, frontier, values, metrics)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(base.QUERIES)
+    """Queries by name; those without SQL are listed in their module's UNCHECKED."""
+    out = {}
+    for module in MODULES:
+        for query in (*module.ENTRIES, *getattr(module, "UNCHECKED", ())):
+            out[query.__name__] = query
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(base.ORACLES)
+    return {query.__name__: sql for module in MODULES for query, sql in module.ENTRIES.items()}
