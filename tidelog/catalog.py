@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.operators import envelope, frontier, metrics, planning, search, table, values
+from tidelog.operators import envelope, frontier, metrics, planning, search, signals, table, values
 
-MODULES = (search, table, planning, envelope, frontier, values, metrics)
+MODULES = (search, table, planning, envelope, frontier, values, metrics, signals)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
