@@ -58,7 +58,7 @@ def benchmark_seeds(benchmark: DataFrame, masks) -> DataFrame:
         span = max(mask) + 1
         own = items.where((F.col("size") >= SPAN) if span > len(mask) else (F.col("size") == span) & (F.col("size") < SPAN))
         own = own.withColumn("seeds", _seeds(F.col("words"), F.col("size"), mask))
-        own = own.select("item_id", "words", "size", F.posexplode("seeds").alias("at", "seed"))
+        own = own.select("item_id", "words", "size", F.posexplode_outer("seeds").alias("at", "seed")).where("seed is not null")
         back = F.least(F.col("at"), F.lit(WINDOW))
         out.append(
             own.select(
@@ -81,18 +81,15 @@ def _masks(benchmark: DataFrame) -> list[tuple[int, ...]]:
     return [*MASKS, *(tuple(range(n)) for n in sorted(r.n for r in short.collect()))]
 
 
-def _best(words: str) -> tuple[Column, Column]:
-    """(1 where a word around a hit is equal, the most of need_of words in a row that are)."""
-    equal = F.transform(
-        F.col("near"),
-        lambda x, k: F.when(F.get(F.col(words), F.col("at") - F.col("back") + k) == x, 1).otherwise(0),
+def _best() -> Column:
+    """The most equal words in any need_of words in a row: near of the item against around of the text."""
+    equal = F.transform(F.col("near"), lambda x, k: F.when(F.get(F.col("around"), k - F.col("lead")) == x, 1).otherwise(0))
+    last = F.greatest(F.size("near") - F.col("need_of"), F.lit(0))
+    # A lambda's argument is computed once, a column named twice may be computed twice.
+    best = lambda e: F.array_max(
+        F.transform(F.sequence(F.lit(0), last), lambda s: F.aggregate(F.slice(e, s + 1, F.col("need_of")), F.lit(0), lambda x, y: x + y))
     )
-    last = F.size("near") - F.col("need_of")
-    sums = F.transform(
-        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-        lambda s: F.aggregate(F.slice(F.col("_equal"), s + 1, F.col("need_of")), F.lit(0), lambda a, x: a + x),
-    )
-    return equal, F.array_max(sums)
+    return F.transform(F.array(equal), best)
 
 
 def passages(docs: DataFrame, benchmark: DataFrame, keys: dict[str, Column] | None = None, block: int = BLOCK) -> DataFrame:
@@ -117,14 +114,24 @@ def passages(docs: DataFrame, benchmark: DataFrame, keys: dict[str, Column] | No
     parts = []
     for b in range(blocks):
         own = seeds if blocks == 1 else seeds.where(F.pmod(F.xxhash64("seed"), F.lit(blocks)) == b)
-        spread = texts.select(*keys, "_words", "_size", F.posexplode("_seeds").alias("_i", "seed"))
+        spread = texts.select(*keys, "_words", "_size", F.posexplode_outer("_seeds").alias("_i", "seed"))
         hits = spread.join(F.broadcast(own), "seed")
         begin = F.lit(0)
         for k, s in enumerate(starts):
             begin = F.when(F.col("mask") == k, s).otherwise(begin)
-        hits = hits.withColumn("at", F.col("_i") - begin)
-        equal, best = _best("_words")
-        hits = hits.withColumn("_equal", equal).withColumn("matched", best)
+        at = F.col("_i") - begin
+        # Only the words around a hit go on from here, in the same generated code as the join.
+        hits = hits.select(
+            *keys,
+            "item_id",
+            "near",
+            "need_of",
+            "whole",
+            F.greatest(F.col("back") - at, F.lit(0)).alias("lead"),
+            F.slice("_words", F.greatest(at - F.col("back"), F.lit(0)) + 1, F.size("near")).alias("around"),
+        )
+        # An outer explode of the one value keeps the comparison below out of the join's condition.
+        hits = hits.select(*keys, "item_id", "need_of", "whole", F.explode_outer(_best()).alias("matched"))
         need = F.when(F.col("whole"), F.col("need_of")).otherwise(F.ceil(F.col("need_of") * SHARE))
         parts.append(hits.where(F.col("matched") >= need).select(*keys, "item_id", "matched", F.col("need_of").alias("of")))
     found = reduce(DataFrame.unionByName, parts)
