@@ -7,27 +7,31 @@ from pyspark.sql import DataFrame, functions as F
 from tidelog.llm import shared
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, rows: int | None = None) -> DataFrame:
     """node, root for every node of links (a, b); root is the least node of its component.
 
     Large and small stars take turns: each node hands its greater neighbours, then its
     lesser ones, to the least node it knows. Every turn is written to the shared folder, so
     lineage stays short; the number of turns grows with the logarithm of the nodes. An empty
-    table gives an empty one; loops and repeated pairs change nothing.
+    table gives an empty one; loops and repeated pairs change nothing. rows: how many links there
+    are, if that is known; it sets the number of tasks alone.
     """
-    edges = shared.written(links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
+    links = links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    edges = shared.written(links if rows is None else shared.sized(links, rows), "links")
     before = None
     while True:
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
+        few = lambda df: shared.sized(df, now[0])  # noqa: B023, E731
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("_u"), F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, F.col("u") == F.col("_u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("_u"), "m")
-        small = large.join(least, F.col("u") == F.col("_u")).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
-        following = shared.written(small.where("u != v").distinct(), "links")
+        least = few(both.groupBy("u").agg(F.min("v").alias("m"))).select(F.col("u").alias("_u"), F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(shared.side(least, now[0] * 2), F.col("u") == F.col("_u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+        large = few(few(large).distinct())
+        least = few(large.groupBy("u").agg(F.min("v").alias("m"))).select(F.col("u").alias("_u"), "m")
+        small = large.join(shared.side(least, now[0] * 2), F.col("u") == F.col("_u")).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
+        following = shared.written(few(few(small.where("u != v")).distinct()), "links")
         shared.discard(edges)
         edges = following
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -85,61 +85,65 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", _similarity("text_a", "text_b").alias("s")).where(F.col("s") >= SIMILARITY).select("a", "b")
 
 
-def _leaders(members: DataFrame, done: DataFrame, slots: int, turn: int) -> DataFrame:
-    """bkey, a, a_root: for each bucket some members outside its largest component, none of them done."""
-    mark = F.pmod(F.xxhash64("tid", F.lit(turn)), F.lit(slots))
-    left = members.where("root != major").join(done, ["bkey", "tid"], "left_anti")
-    chosen = left.groupBy("bkey", mark.alias("slot")).agg(F.min(F.struct("tid", "root")).alias("x"))
+def _open(members: DataFrame, done: DataFrame, rows: int, total: int) -> DataFrame:
+    """members (bkey, tid, root) of buckets that still need leaders, with due: it may be one.
+
+    Due are members outside the bucket's largest component that led nothing yet. A bucket
+    without any stays settled: two of its members are in one component or were compared.
+    """
+    few = lambda df: shared.sized(df, rows)
+    held = few(members.groupBy("bkey", "root").agg(F.count("*").alias("n")))
+    top = few(held.groupBy("bkey").agg(F.max(F.struct("n", "root")).alias("x"), F.count("*").alias("k")).where("k > 1"))
+    mixed = few(members.join(shared.side(top.select("bkey", F.col("x.root").alias("major")), rows), "bkey"))
+    mixed = few(mixed.join(shared.side(done.withColumn("led", F.lit(True)), total), ["bkey", "tid"], "left"))
+    mixed = mixed.select("bkey", "tid", "root", ((F.col("root") != F.col("major")) & F.col("led").isNull()).alias("due"))
+    mixed = shared.written(mixed, "mixed")
+    return few(mixed.join(shared.side(mixed.where("due").select("bkey").distinct(), rows), "bkey", "left_semi"))
+
+
+def _leaders(members: DataFrame, slots: int, turn: int) -> DataFrame:
+    """bkey, a, a_root: at most slots leaders for each bucket."""
+    slot = F.pmod(F.xxhash64("tid", F.lit(turn)), F.lit(slots)).alias("slot")
+    chosen = members.where("due").groupBy("bkey", slot).agg(F.min(F.struct("tid", "root")).alias("x"))
     return chosen.select("bkey", F.col("x.tid").alias("a"), F.col("x.root").alias("a_root"))
 
 
-def _mixed(members: DataFrame) -> DataFrame:
-    """members (bkey, tid, root) of buckets with several components, with the largest as major."""
-    held = members.groupBy("bkey", "root").agg(F.count("*").alias("n"))
-    top = held.groupBy("bkey").agg(F.max(F.struct("n", "root")).alias("x"), F.count("*").alias("k")).where("k > 1")
-    return members.join(top.select("bkey", F.col("x.root").alias("major")), "bkey")
-
-
 def roots(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node, root of all texts (by tid) that are near duplicates of others; nodes: tid, bands."""
     spread = nodes.select("tid", F.explode("bands").alias("bkey"))
     shared_keys = spread.groupBy("bkey").agg(F.count("*").alias("n"), F.min("tid").alias("lead")).where("n > 1")
     members = shared.written(spread.join(shared_keys.select("bkey", "lead"), "bkey"), "members")
-    wanted = members.select("tid").distinct()
+    total = members.count()
+    wanted = shared.sized(members.select("tid").distinct(), total)
     texts = docs.select(F.unhex(F.md5("text")).alias("tid"), "text").join(wanted, "tid", "left_semi")
     texts = shared.written(texts.groupBy("tid").agg(F.first("text").alias("text")), "texts")
-    total = members.count()
 
-    pairs = shared.written(members.where("tid != lead").select(F.col("lead").alias("a"), F.col("tid").alias("b")).distinct(), "pairs")
+    pairs = members.where("tid != lead").select(F.col("lead").alias("a"), F.col("tid").alias("b")).distinct()
+    pairs = shared.written(shared.sized(pairs, total), "pairs")
     links = shared.written(_verified(pairs, texts), "verified")
-    found = components(links)
-    done = members.select("bkey", F.col("lead").alias("tid")).distinct()
-    members = members.select("bkey", "tid")
+    n_links = links.count()
+    found = components(links, n_links)
+    done = shared.written(shared.sized(members.select("bkey", F.col("lead").alias("tid")).distinct(), total), "done")
+    members, rows = members.select("bkey", "tid"), total
     turn = 0
     while True:
         turn += 1
-        own = members.join(found.withColumnRenamed("node", "tid"), "tid", "left").select("bkey", "tid", F.coalesce("root", "tid").alias("root"))
-        mixed = shared.written(_mixed(own), "mixed")
-        rows = mixed.count()
+        own = members.join(shared.side(found.withColumnRenamed("node", "tid"), n_links * 2), "tid", "left").select("bkey", "tid", F.coalesce("root", "tid").alias("root"))
+        still = shared.written(_open(shared.written(shared.sized(own, rows), "rooted"), done, rows, total), "open")
+        rows = still.count()
         if not rows:
             break
-        leaders = shared.written(_leaders(mixed, done, min(max(total // rows, 2), MOST_LEADERS), turn), "leaders")
-        if leaders.isEmpty():
-            break
-        new = (
-            leaders.join(mixed, "bkey")
-            .where("root != a_root")
-            .select(F.least("a", "tid").alias("a"), F.greatest("a", "tid").alias("b"))
-            .distinct()
-            .join(pairs, ["a", "b"], "left_anti")
-        )
-        new = shared.written(new, "pairs")
+        leaders = shared.written(shared.sized(_leaders(still, min(max(total // rows, 2), MOST_LEADERS), turn), rows), "leaders")
+        new = still.join(shared.side(leaders, rows), "bkey").where("root != a_root").select(F.least("a", "tid").alias("a"), F.greatest("a", "tid").alias("b"))
+        new = shared.sized(shared.sized(new, total).distinct(), total).join(pairs, ["a", "b"], "left_anti")
+        new = shared.written(shared.sized(new, total), "pairs")
         fresh = shared.written(_verified(new, texts), "verified")
         pairs, done = pairs.union(new), done.union(leaders.select("bkey", F.col("a").alias("tid")))
         if not fresh.isEmpty():
             links = links.union(fresh)
-            found = components(links)
-        shared.discard(mixed)
+            n_links = links.count()
+            found = components(links, n_links)
+        members = still.select("bkey", "tid")
     return found
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,6 +28,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, rows: int, each: int = 50_000) -> DataFrame:
+    """df in fewer tasks where it has few rows: about each rows a task, and no fewer than LEAST_TASKS."""
+    return df.coalesce(max(LEAST_TASKS, rows // each))
+
+
+LEAST_TASKS = 12
+#: Rows of a few numbers that are broadcast, at most; longer tables are joined by shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def side(df: DataFrame, rows: int) -> DataFrame:
+    """df as a side of a join: broadcast only if its known number of rows is small."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def discard(df: DataFrame) -> None:
     """Remove the files of a table made by written(), once nothing reads it."""
     spark = df.sparkSession
