@@ -20,7 +20,7 @@ def test_every_template_is_found_and_prose_is_not():
 
 
 def test_the_hint_holds_for_all_templates():
-    assert all(lc._HINT.search(t) for texts in lc.TEMPLATES.values() for t in texts)
+    assert all(lc.hinted(t) for texts in lc.TEMPLATES.values() for t in texts)
 
 
 def test_frames(spark):
