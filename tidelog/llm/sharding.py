@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from tidelog.llm import shared
+
 ROUNDS = 6
 #: Buckets of the global order. Each is sorted in one task, so the number goes up with the input.
 BUCKETS = 4096
@@ -89,6 +91,7 @@ def numbered(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     counted = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies"))
     mark = F.xxhash64(F.col("doc_id"), F.col("size"), F.col("text_crc32"))
     counted = counted.withColumn("mark", mark).withColumn("bucket", F.pmod(F.col("mark"), F.lit(buckets)))
+    counted = shared.written(counted, "numbered")  # both uses below; the texts are read once
     starts = (
         counted.groupBy("bucket")
         .agg(F.sum("copies").alias("rows"))
