@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 
 CHUNK, OVERLAP = 1 << 16, 1 << 10
 #: Pieces whose ids a worker keeps; beyond that it starts afresh.
-CACHE = 200_000
+CACHE = 100_000
 RANKS = "byte_bpe_50k.tiktoken"
 
 
