@@ -90,3 +90,48 @@ def test_bands_reject_junk_and_keep_clean(spark):
     assert px.kept(_docs(spark, rows)).columns == ["doc_id", "text", "lang", "kept"]
     assert px.kept(_docs(spark, rows)).count() == 151
     assert px.judged(_docs(spark, [])).collect() == []
+
+
+def _perplexities(spark, texts):
+    rows = [(i, t, "zz", "x") for i, t in enumerate(texts)]
+    return {r.doc_id: r.perplexity for r in px.judged(_docs(spark, rows)).collect()}
+
+
+def test_letters_that_are_not_ascii_count(spark):
+    import random
+
+    r = random.Random(8)
+    letters = [chr(c) for c in range(0x430, 0x450)]
+    vocabulary = ["".join(r.choice(letters) for _ in range(r.randint(2, 8))) for _ in range(200)]
+    clean = [" ".join(r.choice(vocabulary) for _ in range(100)) for _ in range(80)]
+    shuffled = ["".join(c if c == " " else r.choice(letters) for c in t) for t in clean[:4]]
+    got = _perplexities(spark, clean + shuffled)
+    assert min(got[80 + i] for i in range(4)) > 1.5 * max(got[i] for i in range(80))
+
+
+def test_byte_model_equals_the_definition(spark):
+    from tidelog.llm import bytemodel as bm
+
+    texts = ["the cat sat on the mat; the rat", "ate the cat 12 times. é", "on the mat sat the rat and the cat"]
+    model = bm.ByteModels.fitted(_docs(spark, [(i, t, "en", "x") for i, t in enumerate(texts)]), 8, px.language_index)
+    for m in model.low:
+        own = [t.encode() for t in texts if int(bm.folds(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0]) * 8 + 1 == m]
+        padded = [b" " * (bm.ORDER - 1) + t for t in own]
+        levels = [Counter(p[i : i + bm.ORDER] for p in padded for i in range(len(p) - bm.ORDER + 1))]
+        while len(levels) < bm.ORDER:
+            levels.insert(0, Counter(g[1:] for g in levels[0]))
+
+        def chance(gram):
+            p = 1 / 256
+            for k, level in enumerate(levels, 1):
+                of = [sum(1 for n in level.values() if n == j) for j in range(1, 5)]
+                cut = bm._discounts(of)
+                after = {h: n for h, n in level.items() if h[:-1] == gram[-k:][:-1]}
+                if after:
+                    n = level.get(gram[-k:], 0)
+                    p = (n - (cut[min(n, 3) - 1] if n else 0) + sum(cut[min(x, 3) - 1] for x in after.values()) * p) / sum(after.values())
+            return p
+
+        probes = [*levels[-1], b"zzzzzz", b"he cax", b" the q"]
+        packed = np.array([int.from_bytes(g, "big") for g in probes], np.uint64)
+        assert np.allclose(model.probabilities(m, packed), [chance(g) for g in probes], rtol=1e-5)

@@ -1,19 +1,14 @@
 """Quality rules: word and line counts, then bands of n-gram perplexity by language.
 
-The language model runs over symbols: each byte of UTF-8 text is one of 32 classes (letters
-without case, white space, digit, punctuation, symbol, and lead and further bytes of other
-characters). Its order is 4, so a language has at most 32**4 n-grams whatever the corpus:
-that is the proven bound on what is collected and sent to the workers. Spark counts the
-n-grams of all texts; the modified Kneser-Ney model of a language (three discounts an order,
-continuation counts below the highest) is kept in arrays sorted by the n-grams' hashes. A
-worker looks all 32**4 codes up in them once and then scores by code.
-
-A line is scored by every model and the likeliest counts, and the model of most bytes names
-the text's language, so neither a wrong or missing lang column nor a passage in another
-language rejects a text. Its perplexity is the exponential of the mean negative
-log-likelihood per byte in nats. The exact histogram of nats over all documents with words
-enough gives each language a band, median -/+ WIDTH scaled median deviations; documents
-outside are rejected.
+Two models are made of all texts. A text's language is that of the likeliest model of order 4
+over 32 classes of bytes (letters without case, white space, digit, punctuation, symbol, lead
+and further bytes): it has at most 32**4 n-grams a language, is collected and goes to the
+workers, so a wrong or missing lang column rejects no text. Its perplexity comes from its
+language's model over whole bytes (tidelog.llm.bytemodel), whose n-grams grow with the corpus
+and stay in shared files, and is the exponential of the mean negative log-likelihood per byte
+in nats; texts are scored by models that weren't fitted on them. The exact histogram of nats
+over all documents with words enough gives each language a band, median -/+ WIDTH scaled
+median deviations; documents outside are rejected.
 
 Defined results: a null text has no words and counts as empty; an empty text has perplexity
 null and fails the base rules; languages not in LANGUAGES, null among them, share one model
@@ -31,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tidelog.llm import textbatch
+from tidelog.llm.bytemodel import ByteModels, folds
 
 ORDER, BITS = 4, 5
 CODES = 1 << (ORDER * BITS)
@@ -174,24 +170,39 @@ class Models:
             Models._made[k] = self.models[k].scores()
         return Models._made[k]
 
+    def likeliest(self, body: np.ndarray, offsets: np.ndarray, allowed: np.ndarray) -> np.ndarray:
+        """The model that each text (none empty) is likeliest by, of those allowed for it (texts x models)."""
+        found = codes(body, offsets)
+        sums = np.stack([np.add.reduceat(self.scores(k)[found], offsets[:-1], dtype=np.int64) for k in self.models], 1)
+        return np.array([*self.models], np.int32)[np.where(allowed, sums, np.iinfo(np.int64).min).argmax(1)]
+
+
+class Measures:
+    """The models of classes, for a text's language, and of bytes, for its perplexity."""
+
+    def __init__(self, classes: Models, whole: ByteModels):
+        self.classes, self.whole = classes, whole
+
+    @classmethod
+    def fitted(cls, docs: DataFrame) -> "Measures":
+        return cls(Models.fitted(docs), ByteModels.fitted(docs, len(LANGUAGES) + 1, language_index))
+
     def nats(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The least mean negative log-likelihood per byte among the models, and which it is; NaN for an empty text."""
+        """The mean negative log-likelihood per byte by the model of a text's language, and which that is; NaN for an empty text."""
         out, which = np.full(len(text), np.nan), np.full(len(text), -1, np.int32)
-        for at, to, body, offsets in textbatch.slices(text):
-            size = np.diff(offsets)
-            full = np.flatnonzero(size)
+        languages = self.whole.languages
+        for at, to, body, offsets in textbatch.slices(text, 4 << 20):
+            full = np.flatnonzero(np.diff(offsets))
             if not len(full):
                 continue
-            found = codes(body, offsets)
-            lines = np.union1d(offsets[full], np.flatnonzero(body[:-1] == 10) + 1)
-            owner = np.searchsorted(offsets[full], lines, "right") - 1
-            sums = np.array([np.add.reduceat(self.scores(k)[found], lines, dtype=np.int64) for k in self.models])
-            best = sums.argmax(0)
-            first = np.searchsorted(lines, offsets[full])
-            out[at + full] = -np.add.reduceat(sums[best, np.arange(len(lines))], first) / size[full] / UNIT
-            share = np.zeros((len(full), len(self.models)), np.int64)
-            np.add.at(share, (owner, best), np.diff(np.append(lines, len(body))))
-            which[at + full] = np.array([*self.models], np.int32)[share.argmax(1)]
+            offsets = np.append(offsets[full], len(body))
+            other = (1 - folds(body, offsets)) * languages
+            known = np.array([[o + k in self.whole.low for k in self.classes.models] for o in range(0, 2 * languages, languages)])[other // languages]
+            none = ~known.any(1)
+            best = self.classes.likeliest(body, offsets, known | none[:, None])
+            scores = self.whole.scores(body, offsets, np.where(none, -1, other + best))
+            out[at + full] = -np.add.reduceat(scores, offsets[:-1]) / np.diff(offsets) / UNIT
+            which[at + full] = best
         return out, which
 
 
@@ -227,7 +238,7 @@ def base_failed(n_words: int, n_repeat_words: int) -> bool:
 RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _measured(models: Models):
+def _measured(models: Measures):
     fields = [*((n, pa.int64()) for n in RESULTS), ("nats", pa.float64()), ("model", pa.int32())]
 
     @F.arrow_udf("struct<" + ", ".join(f"{n}: long" for n in RESULTS) + ", nats: double, model: int>")
@@ -243,7 +254,7 @@ def _measured(models: Models):
     return measure
 
 
-def measured(docs: DataFrame, models: Models) -> DataFrame:
+def measured(docs: DataFrame, models: Measures) -> DataFrame:
     """docs with the counts, base_failed, nats (log-perplexity) and model of each text."""
     out = docs.withColumn("_m", _measured(models)(F.col("text")))
     out = out.withColumns({n: F.col(f"_m.{n}") for n in (*RESULTS, "nats", "model")}).drop("_m")
@@ -251,7 +262,7 @@ def measured(docs: DataFrame, models: Models) -> DataFrame:
     return out.withColumn("base_failed", short | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
 
-def histogram(docs: DataFrame, models: Models) -> DataFrame:
+def histogram(docs: DataFrame, models: Measures) -> DataFrame:
     """model, bin, n over the documents with words enough for the base rules."""
 
     @F.arrow_udf("struct<model: int, bin: int>")
@@ -290,7 +301,7 @@ def _median(weighted: list) -> float:
 
 def judged(docs: DataFrame) -> DataFrame:
     """docs with the counts, base_failed, perplexity and kept."""
-    models = Models.fitted(docs)
+    models = Measures.fitted(docs)
     found = bands(map(tuple, histogram(docs, models).collect()))
     out = measured(docs, models)
     inside = F.lit(False)
