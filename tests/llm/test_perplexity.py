@@ -135,3 +135,11 @@ def test_byte_model_equals_the_definition(spark):
         probes = [*levels[-1], b"zzzzzz", b"he cax", b" the q"]
         packed = np.array([int.from_bytes(g, "big") for g in probes], np.uint64)
         assert np.allclose(model.probabilities(m, packed), [chance(g) for g in probes], rtol=1e-5)
+
+
+def test_junk_between_clean_words_is_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "quality")
+    rows = px.judged(docs).join(labels, "doc_id").where("not base_failed").collect()
+    junk, clean = ([r.kept for r in rows if r.quality == k] for k in (0, 1))
+    assert sum(junk) < 0.01 * len(junk) and sum(clean) > 0.99 * len(clean)

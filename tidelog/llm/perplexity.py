@@ -6,9 +6,11 @@ and further bytes): it has at most 32**4 n-grams a language, is collected and go
 workers, so a wrong or missing lang column rejects no text. Its perplexity comes from its
 language's model over whole bytes (tidelog.llm.bytemodel), whose n-grams grow with the corpus
 and stay in shared files, and is the exponential of the mean negative log-likelihood per byte
-in nats; texts are scored by models that weren't fitted on them. The exact histogram of nats
-over all documents with words enough gives each language a band, median -/+ WIDTH scaled
-median deviations; documents outside are rejected.
+in nats; texts are scored by models that weren't fitted on them. Its marks are the nats of all
+bytes but letters and digits, by word: junk between words, which costs little by the byte, is
+dear there. The exact histograms of nats and of marks over all documents with words enough
+give each language a band, median -/+ WIDTH scaled median deviations, and a bound of marks,
+median + WIDTH such deviations; documents outside are rejected.
 
 Defined results: a null text has no words and counts as empty; an empty text has perplexity
 null and fails the base rules; languages not in LANGUAGES, null among them, share one model
@@ -37,7 +39,10 @@ UNIT = 1 << 16
 #: Bins of the histogram in a nat.
 BINS = 1000
 #: Half the band in median deviations (scaled to standard deviations), and at least, in nats.
-WIDTH, LEAST_WIDTH = 5.0, 0.09
+WIDTH, LEAST_WIDTH = 8.0, 0.05
+#: Bytes that are no marks: ASCII letters and digits, and all of other characters.
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
 _SPACE = 26
@@ -187,9 +192,9 @@ class Measures:
     def fitted(cls, docs: DataFrame) -> "Measures":
         return cls(Models.fitted(docs), ByteModels.fitted(docs, len(LANGUAGES) + 1, language_index))
 
-    def nats(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The mean negative log-likelihood per byte by the model of a text's language, and which that is; NaN for an empty text."""
-        out, which = np.full(len(text), np.nan), np.full(len(text), -1, np.int32)
+    def nats(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By the model of a text's language the mean negative log-likelihood per byte and that of marks per word, and which model that is; NaN for an empty text."""
+        out, which = np.full((2, len(text)), np.nan), np.full(len(text), -1, np.int32)
         languages = self.whole.languages
         for at, to, body, offsets in textbatch.slices(text, 4 << 20):
             full = np.flatnonzero(np.diff(offsets))
@@ -201,9 +206,15 @@ class Measures:
             none = ~known.any(1)
             best = self.classes.likeliest(body, offsets, known | none[:, None])
             scores = self.whole.scores(body, offsets, np.where(none, -1, other + best))
-            out[at + full] = -np.add.reduceat(scores, offsets[:-1]) / np.diff(offsets) / UNIT
+            out[0, at + full] = -np.add.reduceat(scores, offsets[:-1]) / np.diff(offsets) / UNIT
+            letter = _LETTER[body]
+            start = letter.copy()
+            start[1:] &= ~letter[:-1]
+            start[offsets[:-1]] = letter[offsets[:-1]]
+            words = np.maximum(np.add.reduceat(start, offsets[:-1], dtype=np.int64), 1)
+            out[1, at + full] = -np.add.reduceat(np.where(letter, 0, scores), offsets[:-1]) / words / UNIT
             which[at + full] = best
-        return out, which
+        return out[0], out[1], which
 
 
 def counts(body: bytes) -> tuple[int, int, int, int, int]:
@@ -239,45 +250,46 @@ RESULTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 
 def _measured(models: Measures):
-    fields = [*((n, pa.int64()) for n in RESULTS), ("nats", pa.float64()), ("model", pa.int32())]
+    fields = [*((n, pa.int64()) for n in RESULTS), ("nats", pa.float64()), ("marks", pa.float64()), ("model", pa.int32())]
 
-    @F.arrow_udf("struct<" + ", ".join(f"{n}: long" for n in RESULTS) + ", nats: double, model: int>")
+    @F.arrow_udf("struct<" + ", ".join(f"{n}: long" for n in RESULTS) + ", nats: double, marks: double, model: int>")
     def measure(text: pa.Array) -> pa.Array:
         rows = np.zeros((len(text), len(RESULTS)), np.int64)
         for i, t in enumerate(text.cast(pa.binary())):
             if t.is_valid:
                 rows[i] = counts(t.as_py())
-        nats, which = models.nats(text)
-        columns = [pa.array(rows[:, k]) for k in range(len(RESULTS))] + [pa.array(nats, mask=np.isnan(nats)), pa.array(which)]
+        nats, marks, which = models.nats(text)
+        columns = [pa.array(rows[:, k]) for k in range(len(RESULTS))] + [pa.array(x, mask=np.isnan(x)) for x in (nats, marks)] + [pa.array(which)]
         return pa.StructArray.from_arrays(columns, fields=[pa.field(n, t) for n, t in fields])
 
     return measure
 
 
 def measured(docs: DataFrame, models: Measures) -> DataFrame:
-    """docs with the counts, base_failed, nats (log-perplexity) and model of each text."""
+    """docs with the counts, base_failed, nats (log-perplexity), marks and model of each text."""
     out = docs.withColumn("_m", _measured(models)(F.col("text")))
-    out = out.withColumns({n: F.col(f"_m.{n}") for n in (*RESULTS, "nats", "model")}).drop("_m")
+    out = out.withColumns({n: F.col(f"_m.{n}") for n in (*RESULTS, "nats", "marks", "model")}).drop("_m")
     short = F.col("n_words") < MIN_WORDS
     return out.withColumn("base_failed", short | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
 
 def histogram(docs: DataFrame, models: Measures) -> DataFrame:
-    """model, bin, n over the documents with words enough for the base rules."""
+    """model, marks, bin, n over the documents with words enough for the base rules; of nats, or of marks."""
 
-    @F.arrow_udf("struct<model: int, bin: int>")
+    @F.arrow_udf("struct<model: int, nats: int, marks: int>")
     def bins(text: pa.Array) -> pa.Array:
-        nats, which = models.nats(text)
+        nats, marks, which = models.nats(text)
         long = np.array([t.is_valid and len(t.as_py().split()) >= MIN_WORDS for t in text.cast(pa.binary())], bool)
-        found = np.where(long & ~np.isnan(nats), np.rint(np.nan_to_num(nats) * BINS), -1).astype(np.int32)
-        return pa.StructArray.from_arrays([pa.array(which), pa.array(found)], ["model", "bin"])
+        found = [np.where(long & ~np.isnan(x), np.rint(np.nan_to_num(x) * BINS), -1).astype(np.int32) for x in (nats, marks)]
+        return pa.StructArray.from_arrays([pa.array(which), *map(pa.array, found)], ["model", "nats", "marks"])
 
-    found = docs.select(bins(F.col("text")).alias("b")).select("b.*")
-    return found.where("bin >= 0").groupBy("model", "bin").agg(F.count("*").alias("n"))
+    found = docs.select(bins(F.col("text")).alias("b")).select("b.*").where("nats >= 0")
+    both = F.explode(F.array(*(F.struct(F.lit(m).alias("marks"), F.col(n).alias("bin")) for m, n in ((False, "nats"), (True, "marks")))))
+    return found.select("model", both.alias("b")).groupBy("model", "b.marks", "b.bin").agg(F.count("*").alias("n"))
 
 
 def bands(rows) -> dict[int, tuple[float, float]]:
-    """For each language the least and largest nats that are kept, from histogram rows."""
+    """For each language the least and largest nats that are kept, from (model, bin, n) rows."""
     out = {}
     by: dict[int, list] = {}
     for model, at, n in rows:
@@ -302,13 +314,14 @@ def _median(weighted: list) -> float:
 def judged(docs: DataFrame) -> DataFrame:
     """docs with the counts, base_failed, perplexity and kept."""
     models = Measures.fitted(docs)
-    found = bands(map(tuple, histogram(docs, models).collect()))
+    rows = [tuple(r) for r in histogram(docs, models).collect()]
+    found, most = (bands((k, at, n) for k, marks, at, n in rows if marks == of) for of in (False, True))
     out = measured(docs, models)
     inside = F.lit(False)
     for k, (low, high) in found.items():
-        inside = inside | ((F.col("model") == k) & F.col("nats").between(low, high))
+        inside = inside | ((F.col("model") == k) & F.col("nats").between(low, high) & (F.col("marks") <= most[k][1]))
     out = out.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False)))
-    return out.withColumn("perplexity", F.exp("nats")).drop("nats", "model")
+    return out.withColumn("perplexity", F.exp("nats")).drop("nats", "marks", "model")
 
 
 def kept(docs: DataFrame) -> DataFrame:
