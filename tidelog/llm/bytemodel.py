@@ -25,9 +25,14 @@ from tidelog.llm import shared, textbatch
 ORDER = 6
 FOLDS = 2
 UNIT = 1 << 16
-LEAST_PARTS = 32
+LEAST_PARTS = 96
+#: N-grams that a task counts before it hands them on, and scores that a worker remembers (2**x).
+HELD, REMEMBERED = 2_000_000, 22
 _ALL = np.uint64((1 << 64) - 1)
 _SPACE = np.uint64(0x20)
+#: A gram's number has its model's in the bits above.
+_MODEL = np.uint64(8 * ORDER)
+_GRAM = _ALL >> np.uint64(64 - 8 * ORDER)
 
 
 def grams(body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -66,40 +71,53 @@ def _key(prefix: np.ndarray, gram: np.ndarray, model, order: int, context: bool
     return (prefix << np.uint64(48)) | (textbatch.mix(textbatch.mix(gram) + of) >> np.uint64(16))
 
 
-def _merged(model: np.ndarray, gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.lexsort((gram, model))
-    model, gram, n = model[order], gram[order], n[order]
-    first = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (model[1:] != model[:-1])])[: len(gram)])
-    return model[first], gram[first], np.add.reduceat(n, first) if len(first) else n
+def _merged(named: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of grams and models in order, each once, and the sums of n."""
+    order = np.argsort(named)
+    named = named[order]
+    first = _runs(named)
+    return named[first], np.add.reduceat(n[order], first)
+
+
+def _packed(x: np.ndarray) -> bytes:
+    """64-bit numbers, their first bytes first, compressed."""
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(x: bytes, size: int) -> np.ndarray:
+    whole = np.frombuffer(pa.decompress(x, size * 8, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(whole.reshape(8, -1).T).view(np.uint64).ravel()
 
 
 def _count(parts: int, languages: int, index):
     def count(batches):
         held, size = [], 0
 
-        def flush():
-            model, gram, n = _merged(*(np.concatenate(x) for x in zip(*held)))
-            part = _part(_prefix(gram), parts)
-            for at in range(0, len(gram), 1 << 17):
-                own = slice(at, at + (1 << 17))
-                yield pa.RecordBatch.from_arrays([pa.array(part[own]), pa.array(model[own].astype(np.int32)), pa.array(gram[own].view(np.int64)), pa.array(n[own])], ["part", "model", "gram", "n"])
+        def handed(named, n):
+            part = _part(_prefix(named), parts)
+            order = np.argsort(part, kind="stable")
+            named, n, part = named[order], n[order], part[order]
+            first = np.append(_runs(part), len(part))
+            rows = [(_packed(np.diff(named[a:b], prepend=np.uint64(0))), _packed(n[a:b])) for a, b in zip(first, first[1:])]
+            columns = [pa.array(part[first[:-1]]), pa.array(np.diff(first)), *(pa.array(x, pa.binary()) for x in zip(*rows))]
+            return pa.RecordBatch.from_arrays(columns, ["part", "size", "grams", "n"])
 
         for batch in batches:
             lang = index(batch.column(0))
             for at, to, body, offsets in textbatch.slices(batch.column(1), 4 << 20):
                 if not len(body):
                     continue
-                model = np.repeat(folds(body, offsets) * languages + lang[at:to], np.diff(offsets))
-                found = grams(body, offsets)
-                for m in np.unique(model):
-                    gram, n = np.unique(found[model == m], return_counts=True)
-                    held.append((np.full(len(gram), m, np.int64), gram, n.astype(np.int64)))
-                    size += len(gram)
-                if size > 3_000_000:
-                    yield from flush()
-                    held, size = [], 0
+                model = (folds(body, offsets) * languages + lang[at:to]).astype(np.uint64) << _MODEL
+                held.append(np.unique(grams(body, offsets) | np.repeat(model, np.diff(offsets)), return_counts=True))
+                size += len(held[-1][0])
+                if size > 2 * HELD:
+                    held = [_merged(*(np.concatenate(x) for x in zip(*held)))]
+                    size = len(held[0][0])
+                    if size > HELD:
+                        yield handed(*held[0])
+                        held, size = [], 0
         if held:
-            yield from flush()
+            yield handed(*_merged(*(np.concatenate(x) for x in zip(*held))))
 
     return count
 
@@ -118,21 +136,21 @@ def _runs(*by: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _tables(model: np.ndarray, gram: np.ndarray, n: np.ndarray):
+def _tables(named: np.ndarray, n: np.ndarray):
     """Sorted keys and values of grams and contexts, and rows (model, order, code, n) for the driver."""
-    model, gram, n = _merged(model, gram, n)
+    named, n = _merged(named, n)
     kept, contexts, rows = [], [], []
     for order in range(ORDER, 2, -1):
-        prefix = _prefix(gram)
+        gram, model, prefix = named & _GRAM, named >> _MODEL, _prefix(named)
         kept.append((_key(prefix, gram, model, order), n.astype(np.float32)))
-        first = _runs(gram >> np.uint64(8), model)
-        values = np.stack([np.add.reduceat(x, first) for x in (n, n == 1, n == 2, n >= 3)], 1).astype(np.float32)
+        first = _runs(named >> np.uint64(8))
+        values = np.stack([np.add.reduceat(x, first, dtype=np.int64) for x in (n, n == 1, n == 2, n >= 3)], 1).astype(np.float32)
         contexts.append((_key(prefix[first], gram[first] >> np.uint64(8), model[first], order, True), values))
         for k in range(1, 5):
-            seen = np.bincount(model[n == k])
+            seen = np.bincount(model[n == k].astype(np.int64))
             rows += [(m, order, k, seen[m]) for m in np.flatnonzero(seen)]
-        gram = _ending(gram, order - 1)
-        model, gram, n = _merged(model, gram, np.ones(len(gram), np.int64))
+        named, n = _merged(_ending(gram, order - 1) | (model << _MODEL), np.ones(len(gram), np.int64))
+    model, gram = (named >> _MODEL).astype(np.int64), named & _GRAM
     rows += zip(model, np.full(len(model), 2), gram.astype(np.int64), n)
     out = []
     for table in (kept, contexts):
@@ -144,14 +162,15 @@ def _tables(model: np.ndarray, gram: np.ndarray, n: np.ndarray):
 
 def _build(folder: str):
     def build(batches):
-        held = [[x.to_numpy(zero_copy_only=False) for x in b.columns] for b in batches if b.num_rows]
-        if not held:
-            return
-        part, model, gram, n = (np.concatenate(x) for x in zip(*held))
+        held: dict[int, list] = {}
+        for batch in batches:
+            for part, size, named, n in zip(*(x.to_pylist() for x in batch.columns)):
+                held.setdefault(part, []).append((size, named, n))
         store, path = _store(folder)
-        for p in np.unique(part):
-            own = part == p
-            (grams_, contexts), rows = _tables(model[own].astype(np.int64), gram[own].view(np.uint64), n[own])
+        for p in sorted(held):
+            own = held.pop(p)
+            named = np.concatenate([np.cumsum(_unpacked(x, size), dtype=np.uint64) for size, x, _ in own])
+            (grams_, contexts), rows = _tables(named, np.concatenate([_unpacked(x, size) for size, _, x in own]).astype(np.int64))
             draft = f"{path}/.{p}-{uuid.uuid4().hex}"
             with store.open_output_stream(draft) as out:
                 out.write(np.array([len(grams_[0]), len(contexts[0])], np.int64).tobytes())
@@ -186,6 +205,7 @@ class ByteModels:
     """The models of all folds and languages; the orders from 3 on are in shared files."""
 
     _mapped: dict = {}
+    _known: dict = {}
 
     def __init__(self, folder: str, parts: int, languages: int, low: dict, discounts: dict):
         self.folder, self.parts, self.languages, self.low, self.discounts = folder, parts, languages, low, discounts
@@ -199,7 +219,7 @@ class ByteModels:
         store.create_dir(path, recursive=True)
         texts = docs.select(F.col("lang").cast("string"), F.col("text"))
         parts = max(LEAST_PARTS, texts.rdd.getNumPartitions())
-        dealt = texts.mapInArrow(_count(parts, languages, index), "part int, model int, gram long, n long").repartition(parts, "part")
+        dealt = texts.mapInArrow(_count(parts, languages, index), "part int, size long, grams binary, n binary").repartition(parts, "part")
         rows = dealt.mapInArrow(_build(folder), "model long, order long, code long, n long").groupBy("model", "order", "code").agg(F.sum("n").alias("n"))
         model, order, code, n = (x.to_numpy() for x in rows.toArrow().columns)
         low, discounts = {}, {}
@@ -264,12 +284,24 @@ class ByteModels:
 
     def scores(self, body: np.ndarray, offsets: np.ndarray, model: np.ndarray) -> np.ndarray:
         """Log-probability of each byte, in UNITs, by its text's model; by chance alone where that is -1."""
-        out = np.full(len(body), round(np.log(1 / 256) * UNIT), np.int64)
-        found, of_byte = grams(body, offsets), np.repeat(model, np.diff(offsets))
-        for m in np.unique(model[np.diff(offsets) > 0]):
-            if m < 0:
-                continue
-            own = np.flatnonzero(of_byte == m)
-            gram, which = np.unique(found[own], return_inverse=True)
-            out[own] = np.rint(np.log(self.probabilities(int(m), gram)) * UNIT).astype(np.int64)[which]
+        out = np.full(len(body), round(np.log(1 / 256) * UNIT), np.int32)
+        of_byte = np.repeat(model, np.diff(offsets))
+        some = np.flatnonzero(of_byte >= 0)
+        named = grams(body, offsets)[some] | (of_byte[some].astype(np.uint64) << _MODEL)
+        if ByteModels._known.get("folder") != self.folder:
+            slots = 1 << REMEMBERED
+            ByteModels._known = {"folder": self.folder, "named": np.full(slots, _ALL), "scores": np.zeros(slots, np.int32)}
+        names, known = ByteModels._known["named"], ByteModels._known["scores"]
+        slot = (textbatch.mix(named) >> np.uint64(64 - REMEMBERED)).astype(np.int64)
+        got, new = known[slot], np.flatnonzero(names[slot] != named)
+        if len(new):
+            fresh, which = np.unique(named[new], return_inverse=True)
+            first = np.append(_runs(fresh >> _MODEL), len(fresh))
+            score = np.concatenate([self.probabilities(int(fresh[a] >> _MODEL), fresh[a:b] & _GRAM) for a, b in zip(first, first[1:])])
+            score = np.rint(np.log(score) * UNIT).astype(np.int32)
+            got[new] = score[which]
+            # Of grams that share a slot one stays, with its own score.
+            slot, at = np.unique(slot[new], return_index=True)
+            names[slot], known[slot] = named[new[at]], got[new[at]]
+        out[some] = got
         return out

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidelog.llm import textbatch
+from tidelog.llm import shared, textbatch
 from tidelog.llm.bytemodel import ByteModels, folds
 
 ORDER, BITS = 4, 5
@@ -273,19 +273,11 @@ def measured(docs: DataFrame, models: Measures) -> DataFrame:
     return out.withColumn("base_failed", short | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
 
-def histogram(docs: DataFrame, models: Measures) -> DataFrame:
-    """model, marks, bin, n over the documents with words enough for the base rules; of nats, or of marks."""
-
-    @F.arrow_udf("struct<model: int, nats: int, marks: int>")
-    def bins(text: pa.Array) -> pa.Array:
-        nats, marks, which = models.nats(text)
-        long = np.array([t.is_valid and len(t.as_py().split()) >= MIN_WORDS for t in text.cast(pa.binary())], bool)
-        found = [np.where(long & ~np.isnan(x), np.rint(np.nan_to_num(x) * BINS), -1).astype(np.int32) for x in (nats, marks)]
-        return pa.StructArray.from_arrays([pa.array(which), *map(pa.array, found)], ["model", "nats", "marks"])
-
-    found = docs.select(bins(F.col("text")).alias("b")).select("b.*").where("nats >= 0")
-    both = F.explode(F.array(*(F.struct(F.lit(m).alias("marks"), F.col(n).alias("bin")) for m, n in ((False, "nats"), (True, "marks")))))
-    return found.select("model", both.alias("b")).groupBy("model", "b.marks", "b.bin").agg(F.count("*").alias("n"))
+def histogram(found: DataFrame) -> DataFrame:
+    """model, marks, bin, n over measured rows with words enough for the base rules; of nats, or of marks."""
+    both = F.explode(F.array(*(F.struct(F.lit(m).alias("marks"), F.rint(F.col(n) * BINS).cast("int").alias("bin")) for m, n in ((False, "nats"), (True, "marks")))))
+    long = found.where((F.col("n_words") >= MIN_WORDS) & F.col("nats").isNotNull())
+    return long.select("model", both.alias("b")).groupBy("model", "b.marks", "b.bin").agg(F.count("*").alias("n"))
 
 
 def bands(rows) -> dict[int, tuple[float, float]]:
@@ -311,12 +303,16 @@ def _median(weighted: list) -> float:
     return 0
 
 
-def judged(docs: DataFrame) -> DataFrame:
-    """docs with the counts, base_failed, perplexity and kept."""
-    models = Measures.fitted(docs)
-    rows = [tuple(r) for r in histogram(docs, models).collect()]
+def judged(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """docs (or their columns in keep) with the counts, base_failed, perplexity and kept.
+
+    The measured rows are written, so that texts are scored once.
+    """
+    out = measured(docs, Measures.fitted(docs))
+    own = [c for c in out.columns if keep is None or c in keep or c not in docs.columns or c in RESULTS + ("nats", "marks", "model", "base_failed")]
+    out = shared.written(out.select(own), "measured")
+    rows = [tuple(r) for r in histogram(out).collect()]
     found, most = (bands((k, at, n) for k, marks, at, n in rows if marks == of) for of in (False, True))
-    out = measured(docs, models)
     inside = F.lit(False)
     for k, (low, high) in found.items():
         inside = inside | ((F.col("model") == k) & F.col("nats").between(low, high) & (F.col("marks") <= most[k][1]))
@@ -326,4 +322,4 @@ def judged(docs: DataFrame) -> DataFrame:
 
 def kept(docs: DataFrame) -> DataFrame:
     """The rows of docs that pass, with their own columns."""
-    return judged(docs.withColumn("_row", F.struct(*docs.columns))).where("kept").select("_row.*")
+    return judged(docs.withColumn("_row", F.struct(*docs.columns)), ["_row"]).where("kept").select("_row.*")

@@ -18,7 +18,7 @@ def op2_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_perplexity_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = perplexity.judged(shared.documents(spark, sf_dir).select("doc_id", "text", "lang"))
+    judged = perplexity.judged(shared.documents(spark, sf_dir).select("doc_id", "text", "lang"), ["doc_id"])
     return judged.select("doc_id", *perplexity.RESULTS, "base_failed", "kept", "perplexity")
 
 
