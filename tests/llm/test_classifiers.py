@@ -83,3 +83,14 @@ def test_nulls_ties_and_clashes(spark):
         assert len(set(empty)) == 1
         assert [r.held_out for r in got if r.doc_id is None] == [False]
         assert module.scored(docs.limit(0), module.fitted(docs, labels.limit(0))).collect() == []
+
+
+def test_machine_learns_a_pair_whose_terms_tell_nothing_alone():
+    r = random.Random(4)
+    rows = []
+    for _ in range(1500):
+        x, y = r.random() < 0.5, r.random() < 0.5
+        rows.append((int(x != y), np.unique([1000 + r.randrange(30) for _ in range(3)] + [1] * x + [2] * y)))
+    m = toxicity.fit(rows)
+    p = [float(m.probability(m.margins(np.array(f), np.zeros(len(f), int), 1))[0]) for f in ([1, 2], [1], [2])]
+    assert p[0] < 0.2 and min(p[1:]) > 0.7

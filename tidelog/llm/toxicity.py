@@ -27,9 +27,11 @@ BUCKETS = 1 << BITS
 PREFIXES = (5, 6, 7)
 FACTORS = 8
 THRESHOLD = 0.5
-#: Rows of the sample that must hold a term, and the least G statistic between term and label.
-LEAST_ROWS, LEAST_G = 4, 8.0
+#: Rows of the sample that must hold a term, and the G statistic between term and label from which its steps are full.
+LEAST_ROWS, FULL_G = 4, 8.0
 EPOCHS, RATE, PENALTY, BATCH = 30, 0.15, 2e-3, 64
+#: Steps of a term of less G are full only in rows of that many terms, and fall with the root of more.
+STEP_TERMS = 0.5
 
 
 def terms(body: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -88,7 +90,7 @@ def fit(rows: list[tuple[int, np.ndarray]], seed: int = 11) -> Machine:
         none = np.zeros(0, np.int64)
         return Machine(float(np.log(share / (1 - share))), none, np.zeros(0), np.zeros((0, FACTORS)))
     fold = np.arange(len(rows)) % 5 == 0  # for calibration
-    used = _informative([r for r, f in zip(rows, fold) if not f])
+    used, g = _frequent([r for r, f in zip(rows, fold) if not f])
     place = np.full(BUCKETS, -1, np.int64)
     place[used] = np.arange(len(used))
     xs = []
@@ -96,7 +98,11 @@ def fit(rows: list[tuple[int, np.ndarray]], seed: int = 11) -> Machine:
         at = place[found]
         xs.append(at[at >= 0])
     rng = np.random.default_rng(seed)
-    w, v = np.zeros(len(used)), rng.normal(0, 0.03, (len(used), FACTORS))
+    # A term that alone tells little has small steps, so that sums over many such terms stay small.
+    small = min(1.0, np.sqrt(STEP_TERMS / max(1, np.mean([len(x) for x in xs]))))
+    step = np.where(g >= FULL_G, 1.0, small)
+    rate = RATE * step
+    w, v = np.zeros(len(used)), rng.normal(0, 0.03, (len(used), FACTORS)) * step[:, None]
     b = float(np.log(y.mean() / (1 - y.mean())))
     gw, gv, gb = np.full(len(used), 1e-2), np.full(v.shape, 1e-2), 1e-2
     train = np.flatnonzero(~fold)
@@ -118,8 +124,8 @@ def fit(rows: list[tuple[int, np.ndarray]], seed: int = 11) -> Machine:
             gw[here] += dw**2
             gv[here] += dv**2
             gb += slope.sum() ** 2
-            w[here] -= RATE * dw / np.sqrt(gw[here])
-            v[here] -= RATE * dv / np.sqrt(gv[here])
+            w[here] -= rate[here] * dw / np.sqrt(gw[here])
+            v[here] -= rate[here, None] * dv / np.sqrt(gv[here])
             b -= RATE * slope.sum() / np.sqrt(gb)
     machine = Machine(b, used, w, v)
     held = np.flatnonzero(fold)
@@ -129,8 +135,8 @@ def fit(rows: list[tuple[int, np.ndarray]], seed: int = 11) -> Machine:
     return machine
 
 
-def _informative(rows) -> np.ndarray:
-    """Buckets whose presence and label depend on each other in rows."""
+def _frequent(rows) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of rows enough, whatever the labels, as a term may count only beside another; and their G statistics."""
     n = np.zeros((2, BUCKETS))
     of = np.zeros(2)
     for label, found in rows:
@@ -142,7 +148,8 @@ def _informative(rows) -> np.ndarray:
         for seen, whole in ((n[label], all_with), (of[label] - n[label], total - all_with)):
             expected = np.maximum(whole * of[label] / total, 1e-12)
             g += np.where(seen > 0, 2 * seen * np.log(np.maximum(seen, 1e-12) / expected), 0)
-    return np.flatnonzero((all_with >= LEAST_ROWS) & (g >= LEAST_G))
+    used = np.flatnonzero(all_with >= LEAST_ROWS)
+    return used, g[used]
 
 
 def _feature_rows(batches):
