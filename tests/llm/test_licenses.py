@@ -41,3 +41,14 @@ def test_documents(spark):
                 if name in line:
                     want[(r.doc_id, n, family)] += 1
     assert Counter((r.doc_id, r.paragraph, r.family) for r in lc.scanned(docs).collect()) == want
+
+
+def test_wrapped_notices_are_found():
+    import textwrap
+
+    fitted = lc.model()
+    for family in ("GPL", "BSD", "ISC", "Apache-2.0", "MIT"):
+        for t in lc.TEMPLATES[family]:
+            wrapped = "\n".join("# " + x for x in textwrap.wrap(t, 50))
+            got = list(lc.paragraphs(f"prose line\n\n{wrapped}\n\nmore prose", fitted))
+            assert [g[:2] for g in got] == [(2, family)], (t, got)

@@ -1,6 +1,8 @@
 """License scans: paragraphs classified by family, an unknown class, and template comparison.
 
-A paragraph (line) becomes the set of its hashed word n-grams (one to three words, letters
+A paragraph is a line that is a notice by itself, or else a run of further lines between
+blank ones and such notices, whose lines are joined, as notices are often wrapped; its number
+is that of its first line. It becomes the set of its hashed word n-grams (one to three words, letters
 and digits in lower case). Sparse multinomial logistic regression over these, fitted here on
 paragraphs generated from the templates and from prose, gives each family's probability and
 the unknown class's, calibrated by a temperature on further paragraphs. A family that passes
@@ -130,6 +132,17 @@ def _pairs(found: list[str]) -> set:
 
 _TEMPLATE_PAIRS = {family: [_pairs(words(t)) for t in texts] for family, texts in TEMPLATES.items()}
 
+_ALL_PAIRS = [t for own in _TEMPLATE_PAIRS.values() for t in own]
+_ANY_PAIR = frozenset().union(*_ALL_PAIRS)
+#: Lines that a notice can be wrapped into, at most: one for each word.
+LINES = max(len(words(t)) for texts in TEMPLATES.values() for t in texts)
+
+
+def may_hold(text: str) -> bool:
+    """Whether a template's word pairs are contained to CONTAINED at least; else no paragraph in text is a notice."""
+    own = _pairs(words(text)) & _ANY_PAIR
+    return bool(own) and any(len(t & own) >= CONTAINED * len(t) for t in _ALL_PAIRS)
+
 
 def confirmed(family: str, found: list[str]) -> float:
     """The greatest share of a template's word pairs that the paragraph has."""
@@ -190,8 +203,6 @@ def _softmax(x):
 
 def classify(line: str, fitted) -> tuple[str, float, float] | None:
     """(family, probability, share of a template) of a paragraph, or None where it is unknown."""
-    if not hinted(line):
-        return None
     found = words(line)
     w, b, scale = fitted
     p = _softmax(scale * _margin(w, b, grams(found)))
@@ -202,6 +213,31 @@ def classify(line: str, fitted) -> tuple[str, float, float] | None:
     return (FAMILIES[k], float(p[k]), share) if share >= CONTAINED else None
 
 
+_MARGIN = re.compile(r"^[\s/*#;%!>-]+|[\s*/]+$")
+
+
+def paragraphs(text: str, fitted):
+    """(number of the first line, what classify says) of the notices of a text."""
+    run, first = [], 0
+    for n, line in enumerate([*text.split("\n"), ""]):
+        got = classify(line, fitted) if may_hold(line) else None
+        bare = _MARGIN.sub("", line)
+        if not got and bare:
+            first = first if run else n
+            run.append(bare)
+            continue
+        if len(run) > 1 and may_hold(" ".join(run)):
+            for size in range(2, min(len(run), LINES) + 1):
+                windows = [" ".join(run[i : i + size]) for i in range(len(run) - size + 1)]
+                found = [f for w in windows if may_hold(w) and (f := classify(w, fitted))]
+                if found:
+                    yield first, *max(found, key=lambda f: f[1])
+                    break
+        run = []
+        if got:
+            yield n, *got
+
+
 def scanned(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """key, paragraph (from 0, lines without words counted), family, probability, template_share."""
     fitted = model()
@@ -211,11 +247,8 @@ def scanned(docs: DataFrame, key: str = "doc_id") -> DataFrame:
         for batch in batches:
             rows = []
             for name, text in zip(batch[key], batch["text"]):
-                if text and hinted(text):
-                    for n, line in enumerate(text.split("\n")):
-                        got = classify(line, fitted)
-                        if got:
-                            rows.append((None if pd.isna(name) else name, n, *got))
+                if text and may_hold(text):
+                    rows += [(None if pd.isna(name) else name, *got) for got in paragraphs(text, fitted)]
             yield pd.DataFrame(rows, columns=[key, "paragraph", "family", "probability", "template_share"]).astype({key: object})
 
     schema = f"{key} {kind}, paragraph long, family string, probability double, template_share double"
