@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 MAX_UNSIGNED = "18446744073709551615"
+MAX_SIGNED = "9223372036854775807"
 #: Bytes that a record takes besides its strings (a fixed value).
 RECORD_BYTES = 288
 SPAN_BYTES, SPAN_PAIR_BYTES = 96, 8
@@ -46,6 +47,45 @@ def saturating_difference(a: Column, b: Column) -> Column:
     return F.greatest(a - b, F.lit(0).cast("bigint"))
 
 
+def _held(x: Column) -> Column:
+    return F.least(x, F.lit(MAX_SIGNED).cast("decimal(38,0)")).cast("bigint")
+
+
+def saturating_sum(a: Column, b: Column) -> Column:
+    """a + b of numbers from 0, or the largest BIGINT."""
+    return _held(a.cast("decimal(20,0)") + b.cast("decimal(20,0)"))
+
+
+def saturating_product(a: Column, b: Column) -> Column:
+    """a * b of numbers from 0, or the largest BIGINT."""
+    return _held(a.cast("decimal(19,0)") * b.cast("decimal(19,0)"))
+
+
+def percent_encoded(text: Column) -> Column:
+    """text for a URL: all but letters, digits and -_.~ as %XX."""
+    form = F.url_encode(text)
+    for found, wanted in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
+        form = F.replace(form, F.lit(found), F.lit(wanted))
+    return form
+
+
+def insert_url(endpoint: str, token: Column | None, quorum: str | None = None, timeout_s: int = 0) -> Column:
+    """The address of one insert with its settings; a null token leaves its setting out."""
+    parts = [F.lit(endpoint.rstrip("/") + "/?async_insert=0&date_time_input_format=best_effort")]
+    if token is not None:
+        parts.append(F.coalesce(F.concat(F.lit("&insert_deduplication_token="), percent_encoded(token)), F.lit("")))
+    if quorum is not None:
+        parts.append(F.concat(F.lit("&insert_quorum="), percent_encoded(F.lit(quorum))))
+    if timeout_s > 0:
+        parts.append(F.lit(f"&max_execution_time={timeout_s}"))
+    return F.concat(*parts)
+
+
+def insert_statement(database: str, table: str, form: str) -> str:
+    """An insert without a list of columns: the payload names them, or has the table's order."""
+    return f"INSERT INTO {database}.{table} FORMAT {form}"
+
+
 def pairs_text(m: Column) -> Column:
     """The entries of a map as k=v, in key order, comma-joined."""
     pairs = F.transform(F.array_sort(F.map_entries(m)), lambda e: F.concat_ws("=", e["key"], e["value"]))

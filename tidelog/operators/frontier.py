@@ -74,7 +74,7 @@ class Registry:
         return sum(c.pending for c in self.sources.values())
 
 
-def frontier(commits: DataFrame, source: str = "source", baseline: int = -1, buckets: int = 1024) -> DataFrame:
+def frontier(commits: DataFrame, source: str = "source", baseline: int = -1) -> DataFrame:
     """source, frontier: the highest sequence below which every one after baseline is committed.
 
     The committed sequences of a source are counted by range of width 2**16; ranges before the
@@ -101,10 +101,15 @@ def pending(descriptors: DataFrame, commits: DataFrame) -> DataFrame:
     return descriptors.join(commits.select("source", "src_sequence").distinct(), ["source", "src_sequence"], "left_anti")
 
 
-def commit_status(asked: DataFrame, ledger: DataFrame) -> DataFrame:
-    """asked with status: committed or not_committed, by identity."""
+def commit_status(asked: DataFrame, ledger: DataFrame, sources: list[str] | None = None) -> DataFrame:
+    """asked with status, by identity: committed, not_committed, or unknown where the ledger can't tell.
+
+    It can for the given sources (all, where none are given); a row without identity is unknown too.
+    """
     known = ledger.select("identity").distinct().withColumn("_known", F.lit(True))
-    return asked.join(known, "identity", "left").select(*asked.columns, F.when(F.col("_known"), "committed").otherwise("not_committed").alias("status"))
+    told = F.lit(True) if sources is None else F.col("source").isin(sources)
+    status = F.when(F.col("_known"), "committed").when(F.col("identity").isNotNull() & told, "not_committed").otherwise("unknown")
+    return asked.join(known, "identity", "left").select(*asked.columns, status.alias("status"))
 
 
 def _descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,8 +146,9 @@ def source_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def check_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.col("source"), F.lit(":table:"), F.col("src_sequence").cast("string"))
-    asked = _descriptors(spark, sf_dir).drop("source").withColumn("source", F.lit("a")).withColumn("identity", name).select("src_sequence", "identity")
-    return commit_status(asked, _commits(spark, sf_dir).withColumn("identity", name))
+    d = _descriptors(spark, sf_dir).drop("source")
+    asked = d.withColumn("source", F.explode(F.array(F.lit("a"), F.lit("elsewhere")))).withColumn("identity", name)
+    return commit_status(asked.select("source", "src_sequence", "identity"), _commits(spark, sf_dir).withColumn("identity", name), ["a", "b"])
 
 
 def run_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +158,7 @@ def run_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.join(frontier(c), "source")
 
 
-_COMMITS = """, d AS (SELECT src_sequence, count(*) AS n FROM logs GROUP BY 1), c AS (
+COMMITS_SQL = """, d AS (SELECT src_sequence, count(*) AS n FROM logs GROUP BY 1), c AS (
     SELECT 'a' AS source, * FROM d WHERE src_sequence % 97 <> 96 UNION ALL SELECT 'b', * FROM d WHERE src_sequence % 17 <> 16
 ), f AS (
     SELECT source, coalesce(max(src_sequence) FILTER (src_sequence = r), -1) AS frontier
@@ -163,10 +169,10 @@ _COMMITS = """, d AS (SELECT src_sequence, count(*) AS n FROM logs GROUP BY 1),
 )"""
 
 ENTRIES = {
-    ack_frontier: with_logs(f"{_COMMITS} SELECT source, frontier FROM f"),
-    pending_ranges: with_logs(f"{_COMMITS} SELECT source, src_sequence, n FROM p"),
-    pending_totals: with_logs(f"{_COMMITS} SELECT source, count(*) AS pending FROM p GROUP BY 1"),
-    source_lag: with_logs(f"{_COMMITS} SELECT source, (SELECT max(src_sequence) FROM d) - frontier AS lag FROM f"),
-    check_committed: with_logs(f"{_COMMITS} SELECT src_sequence, 'a:table:' || CAST(src_sequence AS VARCHAR) AS identity, CASE WHEN src_sequence % 97 <> 96 THEN 'committed' ELSE 'not_committed' END AS status FROM d"),
-    run_progress: with_logs(f"{_COMMITS} SELECT c.source, count(*) AS batches, CAST(sum(n) AS BIGINT) AS rows_written, max(src_sequence) AS last_sequence, any_value(frontier) AS frontier FROM c JOIN f USING (source) GROUP BY 1"),
+    ack_frontier: with_logs(f"{COMMITS_SQL} SELECT source, frontier FROM f"),
+    pending_ranges: with_logs(f"{COMMITS_SQL} SELECT source, src_sequence, n FROM p"),
+    pending_totals: with_logs(f"{COMMITS_SQL} SELECT source, count(*) AS pending FROM p GROUP BY 1"),
+    source_lag: with_logs(f"{COMMITS_SQL} SELECT source, (SELECT max(src_sequence) FROM d) - frontier AS lag FROM f"),
+    check_committed: with_logs(f"{COMMITS_SQL} SELECT 'a' AS source, src_sequence, 'a:table:' || CAST(src_sequence AS VARCHAR) AS identity, CASE WHEN src_sequence % 97 <> 96 THEN 'committed' ELSE 'not_committed' END AS status FROM d UNION ALL SELECT 'elsewhere', src_sequence, 'elsewhere:table:' || CAST(src_sequence AS VARCHAR), 'unknown' FROM d"),
+    run_progress: with_logs(f"{COMMITS_SQL} SELECT c.source, count(*) AS batches, CAST(sum(n) AS BIGINT) AS rows_written, max(src_sequence) AS last_sequence, any_value(frontier) AS frontier FROM c JOIN f USING (source) GROUP BY 1"),
 }

@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidelog.operators import frontier
 from tidelog.plans.logs import logs, with_logs
 
 #: Upper bounds of histogram buckets (fixed values).
@@ -57,6 +58,49 @@ def rows_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cumulative(per, F.col("rows"), ROW_COUNTS, ["service_name"])
 
 
+def bytes_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches by size."""
+    per = logs(spark, sf_dir).groupBy("src_sequence").agg((F.sum(F.octet_length("body") * 40)).cast("bigint").alias("bytes"))
+    return cumulative(per, F.col("bytes"), SIZES)
+
+
+def per_call_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptors handed out by each poll of up to eight, one poll in five coming back after three."""
+    d = logs(spark, sf_dir).select("src_sequence").distinct()
+    polls = d.groupBy(F.expr("src_sequence div 8").alias("poll")).agg(F.count_if(F.expr("src_sequence div 8 % 5 <> 4 or src_sequence % 8 < 3")).alias("k"))
+    return cumulative(polls, F.col("k"), PER_CALL)
+
+
+def ratio(part: Column, whole: Column) -> Column:
+    """The quotient of two sums; null where nothing was summed or the whole is 0."""
+    return F.try_divide(F.sum(part).cast("double"), F.sum(whole).cast("double"))
+
+
+def serialize_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of insert time that serialising takes, by service."""
+    spent = F.col("inserted_ns") - F.col("time_ns")
+    return logs(spark, sf_dir).groupBy("service_name").agg(ratio(spent, spent * 3 + F.col("severity_number")).alias("fraction"))
+
+
+#: Outcomes of commits as labels (fixed values).
+OUTCOMES = ("committed", "verified_already_committed", "failed_retryable", "failed_fatal")
+
+
+def commit_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of the commit counter by outcome, from a ledger with each attempt."""
+    attempts = logs(spark, sf_dir).select("src_sequence").distinct()
+    kind = F.when(F.col("src_sequence") % 31 == 30, OUTCOMES[3]).when(F.col("src_sequence") % 11 == 10, OUTCOMES[2]).when(F.col("src_sequence") % 7 == 6, OUTCOMES[1]).otherwise(OUTCOMES[0])
+    return attempts.groupBy(kind.alias("result")).agg(F.count("*").alias("value")).select(F.lit("runtime_sink_commits_total").alias("name"), "result", "value")
+
+
+def run_gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """name, source, value: the frontier, pending ranges and lag of each source as samples."""
+    reached = frontier.ack_frontier(spark, sf_dir).select(F.lit("runtime_ack_frontier").alias("name"), "source", F.col("frontier").alias("value"))
+    open_ = frontier.pending_totals(spark, sf_dir).select(F.lit("runtime_pending_ranges").alias("name"), "source", F.col("pending").alias("value"))
+    lag = frontier.source_lag(spark, sf_dir).select(F.lit("buffer_consumer_sequence_lag").alias("name"), "source", F.col("lag").alias("value"))
+    return reached.unionByName(open_).unionByName(lag)
+
+
 def admission_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Descriptors handed out for each poll of up to eight."""
     d = logs(spark, sf_dir).select("src_sequence").distinct()
@@ -78,5 +122,25 @@ ENTRIES = {
         b AS (SELECT * FROM (VALUES {", ".join(f"('{x}', CAST({x} AS DOUBLE))" for x in ROW_COUNTS)}, ('+Inf', CAST('Infinity' AS DOUBLE))) AS t(le, top))
         SELECT service_name, le, count(*) FILTER (k <= top) AS n FROM p CROSS JOIN b GROUP BY 1, 2"""
     ),
+    bytes_histogram: with_logs(
+        f""", p AS (SELECT src_sequence, sum(strlen(body) * 40) AS k FROM logs GROUP BY 1),
+        b AS (SELECT * FROM (VALUES {", ".join(f"('{x}', CAST({x} AS DOUBLE))" for x in SIZES)}, ('+Inf', CAST('Infinity' AS DOUBLE))) AS t(le, top))
+        SELECT le, count(*) FILTER (k <= top) AS n FROM p CROSS JOIN b GROUP BY 1"""
+    ),
+    per_call_histogram: with_logs(
+        f""", d AS (SELECT DISTINCT src_sequence FROM logs), p AS (SELECT src_sequence // 8 AS poll, count(*) FILTER (src_sequence // 8 % 5 <> 4 OR src_sequence % 8 < 3) AS k FROM d GROUP BY 1),
+        b AS (SELECT * FROM (VALUES {", ".join(f"('{x}', CAST({x} AS DOUBLE))" for x in PER_CALL)}, ('+Inf', CAST('Infinity' AS DOUBLE))) AS t(le, top))
+        SELECT le, count(*) FILTER (k <= top) AS n FROM p CROSS JOIN b GROUP BY 1"""
+    ),
+    serialize_fraction: with_logs("SELECT service_name, CAST(sum(inserted_ns - time_ns) AS DOUBLE) / CAST(sum((inserted_ns - time_ns) * 3 + severity_number) AS DOUBLE) AS fraction FROM logs GROUP BY 1"),
+    commit_outcomes: with_logs(
+        f""", d AS (SELECT DISTINCT src_sequence AS s FROM logs)
+        SELECT 'runtime_sink_commits_total' AS name, CASE WHEN s % 31 = 30 THEN '{OUTCOMES[3]}' WHEN s % 11 = 10 THEN '{OUTCOMES[2]}' WHEN s % 7 = 6 THEN '{OUTCOMES[1]}' ELSE '{OUTCOMES[0]}' END AS result, count(*) AS value FROM d GROUP BY 2"""
+    ),
+    run_gauges: with_logs(
+        f"""{frontier.COMMITS_SQL} SELECT 'runtime_ack_frontier' AS name, source, frontier AS value FROM f
+        UNION ALL SELECT 'runtime_pending_ranges', source, count(*) FROM p GROUP BY source
+        UNION ALL SELECT 'buffer_consumer_sequence_lag', source, (SELECT max(src_sequence) FROM d) - frontier FROM f"""
+    ),
     admission_ratios: with_logs(", p AS (SELECT src_sequence // 8 AS poll, count(DISTINCT src_sequence) AS k FROM logs GROUP BY 1) SELECT CAST(sum(k) AS BIGINT) AS descriptors, count(*) AS calls, sum(k) / count(*) AS per_call FROM p"),
 }

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from tidelog.functions import scalars as S
@@ -16,35 +13,36 @@ SOURCE, SINK, SCHEMA_VERSION = "demo", "table", 1
 DATABASE, TABLE, VERSION = "obs", "logs", 1
 
 
-def chunk_numbers(sizes: Iterable[int], max_rows: int, max_bytes: int) -> list[int]:
-    """Chunk of each size in order: a new one starts where the row would pass either limit."""
-    max_rows, max_bytes = max(max_rows, 1), max(max_bytes, 1)
-    out, chunk, rows, used = [], 0, 0, 0
-    for size in sizes:
-        if rows and (rows + 1 > max_rows or used + size > max_bytes):
-            chunk, rows, used = chunk + 1, 0, 0
-        out.append(chunk)
-        rows, used = rows + 1, used + size
-    return out
-
-
 def chunked(df: DataFrame, max_rows: int = MAX_CHUNK_ROWS, max_bytes: int = MAX_CHUNK_BYTES) -> DataFrame:
     """df with record_bytes and chunk_index, numbered in each batch in coordinate order.
 
-    The fold over one batch depends on every row before, so a batch is folded in one task;
-    the source bounds its size. Only coordinates and sizes go through Python.
+    A new chunk starts where a record would pass either limit; limits below one count as one. The
+    fold over one batch depends on every record before, so the sizes of a batch (which the source
+    bounds) meet in one row; it keeps only where chunks start, and rows find theirs from that.
+    Records of equal coordinates fall into one chunk.
     """
+    max_rows, max_bytes = max(max_rows, 1), max(max_bytes, 1)
     sized = df.withColumn("record_bytes", S.record_bytes())
-
-    def fold(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values(COORDINATES, kind="stable")
-        batch["chunk_index"] = chunk_numbers(batch["record_bytes"], max_rows, max_bytes)
-        return batch
-
-    keys = sized.select("src_manifest_path", *COORDINATES, "record_bytes")
-    schema = "src_manifest_path string, src_sequence long, src_entry_index long, src_record_index long, record_bytes long, chunk_index long"
-    numbered = keys.groupBy("src_manifest_path", "src_sequence").applyInPandas(fold, schema).drop("record_bytes")
-    return sized.join(numbered, ["src_manifest_path", *COORDINATES])
+    batch = ["src_manifest_path", "src_sequence"]
+    place = F.struct("src_entry_index", "src_record_index")
+    sizes = F.array_sort(F.collect_list(F.struct("src_entry_index", "src_record_index", "record_bytes")))
+
+    def step(held, x):
+        full = (held["rows"] > 0) & ((held["rows"] + 1 > max_rows) | (held["used"] + x["record_bytes"] > max_bytes))
+        begins = full | (held["rows"] == 0)
+        here = F.array(F.struct(x["src_entry_index"].alias("src_entry_index"), x["src_record_index"].alias("src_record_index")))
+        return F.struct(
+            F.when(full, 1).otherwise(held["rows"] + 1).cast("long").alias("rows"),
+            F.when(full, x["record_bytes"]).otherwise(held["used"] + x["record_bytes"]).alias("used"),
+            F.when(begins, F.concat(held["starts"], here)).otherwise(held["starts"]).alias("starts"),
+        )
+
+    kinds = dict(df.dtypes)
+    none = F.array().cast(f"array<struct<src_entry_index:{kinds['src_entry_index']},src_record_index:{kinds['src_record_index']}>>")
+    first = F.struct(F.lit(0).cast("long").alias("rows"), F.lit(0).cast("long").alias("used"), none.alias("starts"))
+    starts = sized.groupBy(*batch).agg(F.aggregate(sizes, first, step)["starts"].alias("_starts"))
+    index = F.size(F.filter("_starts", lambda s: s <= place)) - 1
+    return sized.join(starts, batch).withColumn("chunk_index", index.cast("long")).drop("_starts")
 
 
 def chunked_by_rows(df: DataFrame, max_rows: int) -> DataFrame:
@@ -96,6 +94,15 @@ def dedupe_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens(chunked_by_rows(logs(spark, sf_dir), 12), 12, MAX_CHUNK_BYTES).select("token", "chunk_rows")
 
 
+ENDPOINT, QUORUM, TIMEOUT_S = "http://table.test:8123/", "a b/2*~", 30
+
+
+def insert_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The address and statement of each chunk's insert."""
+    found = dedupe_tokens(spark, sf_dir)
+    return found.select("token", S.insert_url(ENDPOINT, F.col("token"), QUORUM, TIMEOUT_S).alias("url"), F.lit(S.insert_statement(DATABASE, TABLE, "JSONEachRow")).alias("statement"))
+
+
 def chunk_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = [("default", S.fingerprint_text(DATABASE, TABLE, VERSION, MAX_CHUNK_ROWS, MAX_CHUNK_BYTES)), ("quorum", S.fingerprint_text(DATABASE, TABLE, VERSION, MAX_CHUNK_ROWS, MAX_CHUNK_BYTES, "2"))]
     return spark.createDataFrame(texts, "name string, text string").select("name", S.fingerprint(F.col("text")).alias("fingerprint"))
@@ -121,13 +128,18 @@ def batch_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs(spark, sf_dir).groupBy("src_sequence").agg(F.sum(S.record_bytes()).alias("record_bytes"), F.sum(coordinates.cast("bigint")).alias("coordinate_bytes"), F.count("*").alias("n"))
 
 
-ESTIMATE, MULTIPLIER = 5200, 4
+#: A limit that some of the batches of the log relation pass and most don't.
+ESTIMATE, MULTIPLIER = 6175, 4
+
+
+def oversize(batches: DataFrame, size: Column, estimate: int, multiplier: int) -> DataFrame:
+    """src_sequence, bytes of the batches larger than the estimate times the multiplier (at most the largest BIGINT)."""
+    return batches.select("src_sequence", size.alias("bytes")).where(F.col("bytes") > min(estimate * multiplier, (1 << 63) - 1))
 
 
 def oversize_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches whose bytes pass the estimate times the fault multiplier."""
-    total = F.col("record_bytes") + F.col("coordinate_bytes")
-    return batch_bytes(spark, sf_dir).select("src_sequence", total.alias("bytes")).where(F.col("bytes") > ESTIMATE * MULTIPLIER + 1500)
+    return oversize(batch_bytes(spark, sf_dir), F.col("record_bytes") + F.col("coordinate_bytes"), ESTIMATE, MULTIPLIER)
 
 
 def spans_of_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,6 +176,12 @@ ENTRIES = {
         SELECT '{MANIFEST}:{DATABASE}.{TABLE}:' || CAST(src_sequence AS VARCHAR) || '-' || CAST(src_sequence AS VARCHAR) || ':{VERSION}:' || {_MARK} || ':' || CAST(chunk_index AS VARCHAR) AS token,
                count(*) AS chunk_rows FROM c GROUP BY src_sequence, chunk_index"""
     ),
+    insert_urls: with_logs(
+        f""", c AS (SELECT DISTINCT src_sequence, {_BY_ROWS} AS chunk_index FROM logs),
+        t AS (SELECT '{MANIFEST}:{DATABASE}.{TABLE}:' || CAST(src_sequence AS VARCHAR) || '-' || CAST(src_sequence AS VARCHAR) || ':{VERSION}:' || {_MARK} || ':' || CAST(chunk_index AS VARCHAR) AS token FROM c)
+        SELECT token, '{ENDPOINT}?async_insert=0&date_time_input_format=best_effort&insert_deduplication_token=' || url_encode(token) || '&insert_quorum=a%20b%2F2%2A~&max_execution_time={TIMEOUT_S}' AS url,
+               'INSERT INTO {DATABASE}.{TABLE} FORMAT JSONEachRow' AS statement FROM t"""
+    ),
     chunk_fingerprint: f"""SELECT name, substr(sha256(text), 1, 16) AS fingerprint FROM (VALUES
         ('default', '{S.fingerprint_text(DATABASE, TABLE, VERSION, MAX_CHUNK_ROWS, MAX_CHUNK_BYTES)}'),
         ('quorum', '{S.fingerprint_text(DATABASE, TABLE, VERSION, MAX_CHUNK_ROWS, MAX_CHUNK_BYTES, "2")}')) AS t(name, text)""",
@@ -176,7 +194,7 @@ ENTRIES = {
         f"SELECT src_sequence, CAST(sum({_BYTES}) AS BIGINT) AS record_bytes, CAST(sum(strlen(src_manifest_path) + strlen(src_data_path) + {S.COORDINATE_BYTES}) AS BIGINT) AS coordinate_bytes, count(*) AS n FROM logs GROUP BY 1"
     ),
     oversize_batches: with_logs(
-        f"SELECT src_sequence, CAST(sum({_BYTES} + strlen(src_manifest_path) + strlen(src_data_path) + {S.COORDINATE_BYTES}) AS BIGINT) AS bytes FROM logs GROUP BY 1 HAVING sum({_BYTES} + strlen(src_manifest_path) + strlen(src_data_path) + {S.COORDINATE_BYTES}) > {ESTIMATE * MULTIPLIER + 1500}"
+        f"SELECT src_sequence, CAST(sum({_BYTES} + strlen(src_manifest_path) + strlen(src_data_path) + {S.COORDINATE_BYTES}) AS BIGINT) AS bytes FROM logs GROUP BY 1 HAVING sum({_BYTES} + strlen(src_manifest_path) + strlen(src_data_path) + {S.COORDINATE_BYTES}) > {ESTIMATE * MULTIPLIER}"
     ),
     spans_of_dates: with_logs(f"SELECT log_date, min(src_sequence) AS low, max(src_sequence) AS high, arg_min(body, ({_COORDS})) AS first_body FROM logs GROUP BY 1"),
 }

@@ -90,6 +90,52 @@ def distinct_services(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs(spark, sf_dir).agg(F.count_distinct("service_name").alias("services"), F.count_distinct("severity_text").alias("severities"))
 
 
+def any_of_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows an unordered limit gives; which ones is left open."""
+    return with_attribute(logs(spark, sf_dir), "topic", "click").limit(100).agg(F.count("*").alias("n"))
+
+
+def suite(df: DataFrame, service: str, low_s: int, high_s: int, key: str, value: str, limit: int = 100) -> DataFrame:
+    """shape, found, given: what the three standard queries find, and what is left of it under the limit.
+
+    The newest rows of a service, rows of a time range from severity 9 on (without a limit), and
+    rows with an attribute. Each is one aggregation over the scan.
+    """
+    shapes = {"last_n_for_service": of_service(df, service), "time_range_with_severity": in_window(df, low_s, high_s), "attribute_lookup": with_attribute(df, key, value)}
+    out = None
+    for shape, rows in shapes.items():
+        n = F.count("*")
+        given = n if shape == "time_range_with_severity" else F.least(n, F.lit(limit).cast("bigint"))
+        one = rows.agg(n.alias("found"), given.alias("given")).select(F.lit(shape).alias("shape"), "found", "given")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def query_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suite(logs(spark, sf_dir), "svc-3", *WINDOW, "topic", "click")
+
+
+#: The suite's usual parameters (fixed values).
+SUITE = ("controller", 1_700_000_000, 1_700_010_000, "topic", "foo")
+
+
+def query_suite_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suite(logs(spark, sf_dir), *SUITE)
+
+
+def newest_as_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest rows with where they come from, a line of JSON each."""
+    rows = newest_with_provenance(spark, sf_dir)
+    return rows.select("time_ns", F.to_json(F.struct(*rows.columns)).alias("line"))
+
+
+def _suite_sql(service: str, low_s: int, high_s: int, key: str, value: str) -> str:
+    held = {"topic": "attr_topic", "k": "attr_k", "run_id": "attr_run"}[key]
+    return f"""SELECT 'last_n_for_service' AS shape, count(*) AS found, least(count(*), 100) AS given FROM logs WHERE service_name = '{service}'
+        UNION ALL SELECT 'time_range_with_severity', count(*), count(*) FROM logs WHERE time_ns BETWEEN {low_s * 10**9} AND {high_s * 10**9} AND severity_number >= {LEAST_SEVERITY}
+        UNION ALL SELECT 'attribute_lookup', count(*), least(count(*), 100) FROM logs WHERE coalesce({held}, '') = '{value}'"""
+
+
 _COORDS = ", ".join(COORDINATES)
 _WHERE = f"time_ns BETWEEN {WINDOW[0] * 10**9} AND {WINDOW[1] * 10**9} AND severity_number >= {LEAST_SEVERITY}"
 
@@ -102,6 +148,14 @@ ENTRIES = {
     attribute_lookup_count: with_logs("SELECT count(*) AS n FROM logs WHERE coalesce(attr_k, '') = '7'"),
     attribute_missing_is_empty: with_logs("SELECT count(*) AS n FROM logs WHERE coalesce(attr_run, '') = ''"),
     newest_with_provenance: with_logs(f"SELECT time_ns, service_name, body, {_COORDS}, src_manifest_path, src_data_path, src_ingest_ms FROM logs ORDER BY time_ns DESC, {_COORDS} LIMIT 5"),
+    any_of_limit: with_logs("SELECT count(*) AS n FROM (SELECT 1 FROM logs WHERE attr_topic = 'click' LIMIT 100)"),
+    query_suite: with_logs(_suite_sql("svc-3", *WINDOW, "topic", "click")),
+    query_suite_defaults: with_logs(_suite_sql(*SUITE)),
+    newest_as_json: with_logs(
+        f"""SELECT time_ns, '{{"time_ns":' || time_ns || ',"service_name":"' || service_name || '","body":"' || body || '","src_sequence":' || src_sequence || ',"src_entry_index":' || src_entry_index
+            || ',"src_record_index":' || src_record_index || ',"src_manifest_path":"' || src_manifest_path || '","src_data_path":"' || src_data_path || '","src_ingest_ms":' || src_ingest_ms || '}}' AS line
+            FROM logs ORDER BY time_ns DESC, {_COORDS} LIMIT 5"""
+    ),
     rows_by_run_id: with_logs("SELECT coalesce(attr_run, 'unknown') AS run_id, count(*) AS n FROM logs GROUP BY 1"),
     global_count: with_logs("SELECT count(*) AS n FROM logs"),
     distinct_keys: with_logs(f"{REPLAYED_SQL} SELECT count(DISTINCT ({_COORDS})) AS n FROM twice"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import struct
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: Wire types by Spark type; columns ending in _ns are times in nanoseconds (fixed values).
@@ -28,7 +28,7 @@ def text_cell(s: str) -> bytes:
 def cell(value, kind: str) -> bytes:
     """One value of a wire type; Nullable(..) has a marker byte first."""
     if kind.startswith("Nullable("):
-        return b"\x01" if value is None or value is pd.NA or value != value else b"\x00" + cell(value, kind[9:-1])
+        return b"\x01" if value is None else b"\x00" + cell(value, kind[9:-1])
     if kind == "String":
         return text_cell(value)
     if kind == "UInt8":
@@ -65,17 +65,22 @@ def wire_types(df: DataFrame, nullable: tuple[str, ...] = ("gateway_ns",)) -> li
     return kinds
 
 
-def binary_chunks(df: DataFrame, by: list[str]) -> DataFrame:
-    """by, payload: the rows of each chunk in the binary format; a chunk is one group of bounded size."""
-    columns = [c for c in df.columns if c not in by]
+def binary_chunks(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """by, payload: the rows of each chunk in the binary format, sorted by order, whose columns are left out.
+
+    A chunk is one group of bounded size; equal chunks give equal bytes wherever their rows come from.
+    """
+    columns = [c for c in df.columns if c not in by and c not in order]
     kinds = wire_types(df.select(*columns))
     keys = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*by).schema)
 
-    def encode(key, chunk: pd.DataFrame) -> pd.DataFrame:
-        rows = list(chunk[columns].itertuples(index=False, name=None))
-        return pd.DataFrame([(*key, row_binary(rows, columns, kinds))], columns=[*by, "payload"])
+    def encode(key: tuple[pa.Scalar, ...], chunk: pa.Table) -> pa.Table:
+        # Arrow, not pandas: there a column of whole numbers with a null would turn into fractions.
+        chunk = chunk.sort_by([(c, "ascending") for c in order])
+        rows = list(zip(*(chunk.column(c).to_pylist() for c in columns)))
+        return pa.table({**{c: pa.array([k.as_py()], k.type) for c, k in zip(by, key)}, "payload": pa.array([row_binary(rows, columns, kinds)], pa.binary())})
 
-    return df.groupBy(*by).applyInPandas(encode, f"{keys}, payload binary")
+    return df.groupBy(*by).applyInArrow(encode, f"{keys}, payload binary")
 
 
 def json_row(columns: list[str]) -> Column:
@@ -83,14 +88,14 @@ def json_row(columns: list[str]) -> Column:
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
 
 
-def json_chunks(df: DataFrame, by: list[str]) -> DataFrame:
-    """by, payload: the rows of each chunk as lines of JSON."""
-    columns = [c for c in df.columns if c not in by]
+def json_chunks(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """by, payload: the rows of each chunk as lines of JSON, sorted by order, whose columns are left out."""
+    columns = [c for c in df.columns if c not in by and c not in order]
     ready = []
     for name, kind in df.select(*columns).dtypes:
         ready.append(F.map_from_entries(F.array_sort(F.map_entries(name))).alias(name) if kind.startswith("map<") else F.col(name))
-    lines = df.select(*by, *ready).select(*by, json_row(columns).alias("line"))
-    return lines.groupBy(*by).agg(F.concat_ws("\n", F.array_sort(F.collect_list("line"))).alias("payload"))
+    lines = df.select(*by, *order, *ready).select(*by, F.struct(*order, json_row(columns).alias("line")).alias("row"))
+    return lines.groupBy(*by).agg(F.concat_ws("\n", F.array_sort(F.collect_list("row"))["line"]).alias("payload"))
 
 
 #: Serialisers by format name.
