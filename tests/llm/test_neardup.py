@@ -124,3 +124,60 @@ def test_empty_tables(spark):
     assert neardup.classes(none).collect() == [] and neardup.deduplicated(none).collect() == []
     blank = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
     assert neardup.deduplicated(blank).count() == 2
+
+
+def look_alikes(n):
+    """Texts made from one by up to 30 changed words, so that similarities run from 0.2 to 1."""
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefgh") for _ in range(6))
+    base = [word() for _ in range(150)]
+    out = []
+    for _ in range(n):
+        own = base.copy()
+        for _ in range(r.randint(0, 30)):
+            own[r.randrange(len(own))] = word()
+        out.append(" ".join(own))
+    return out
+
+
+def test_look_alikes_are_settled_with_few_comparisons(spark, monkeypatch):
+    texts = look_alikes(1200)
+    index: dict = {}
+    bags = [[index.setdefault(s, len(index)) for s in shingles(t)] for t in texts]
+    held = np.zeros((len(texts), len(index)), np.float32)
+    for i, b in enumerate(bags):
+        held[i, b] = 1
+    both = held @ held.T
+    size = held.sum(1)
+    near = both / (size[:, None] + size[None] - both) >= 0.8
+    root = np.arange(len(texts))
+    while True:
+        least = np.where(near, root[None], len(texts)).min(1)
+        if (least == root).all():
+            break
+        root = least
+    compared = []
+    measured = neardup.shared.measured
+
+    def noted(df, name, **totals):
+        out = measured(df, name, **totals)
+        if name == "pairs":
+            compared.append(out[1]["rows"])
+        return out
+
+    monkeypatch.setattr(neardup.shared, "measured", noted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in neardup.classes(df).collect()}
+    assert [got[i] for i in range(len(texts))] == root.tolist()
+    assert len(set(root.tolist())) > 300 and sum(compared) < len(texts) * (len(texts) - 1) / 2 / 10
+
+
+def test_very_long_texts_and_any_id(spark):
+    r = random.Random(6)
+    long = [f"w{r.randrange(10**9)}" for _ in range(150_000)]
+    other = long.copy()
+    other[77_777] = "changed"
+    rows = [("b", " ".join(long)), ("a", " ".join(other)), ("c", "x " * 400_000), (None, "x y z")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {r.doc_id: (r.class_id, r.class_size) for r in neardup.classes(df).collect()}
+    assert got == {"a": ("a", 2), "b": ("a", 2), "c": ("c", 1), None: (None, 1)}

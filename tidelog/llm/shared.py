@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,11 +28,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def measured(df: DataFrame, name: str, **totals) -> tuple[DataFrame, dict]:
+    """written(df, name) and, from the same pass, the number of its rows and further totals of it."""
+    seen = Observation()
+    out = written(df.observe(seen, F.count(F.lit(1)).alias("rows"), *(column.alias(k) for k, column in totals.items())), name)
+    return out, seen.get
+
+
 def sized(df: DataFrame, rows: int, each: int = 50_000) -> DataFrame:
     """df in fewer tasks where it has few rows: about each rows a task, and no fewer than LEAST_TASKS."""
     return df.coalesce(max(LEAST_TASKS, rows // each))
 
 
+def free(df: DataFrame, name: str) -> str:
+    """name, or one like it that no column of df has (whatever its case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 LEAST_TASKS = 12
 #: Rows of a few numbers that are broadcast, at most; longer tables are joined by shuffle.
 BROADCAST_ROWS = 200_000

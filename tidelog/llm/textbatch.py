@@ -11,6 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from tidelog.llm import worker
+
 #: Bytes of text that are worked on at a time (one text, if it is longer).
 SLICE = 1 << 20
 
@@ -21,6 +23,7 @@ _MULT = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTES = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _powers: dict[str, np.ndarray] = {}
+worker.keeps("powers", _powers.clear)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
