@@ -2,18 +2,21 @@
 
 The base formats (email, ip, card, phone) always stay. High-recall generators propose more
 spans of the same kinds (written-out addresses, phone numbers without a plus sign, cards of
-other lengths or separators, IPv6), which may overlap; trees score each from its format and
-its context, and what passes its kind's calibrated threshold and overlaps no better span of
-its kind is added. The trees are grown here from generated examples, so that no person's
-data is in the model, and hold a few kilobytes.
-
-Defined results: a null text has no spans and stays null; an empty one has none; offsets are
-code points of the whole text, end exclusive; columns of the input that are named like a
-result are replaced, all others kept.
+other lengths or separators, IPv6) and secrets (long tokens of mixed characters), which may
+overlap; trees score each from its format and its context, and what passes its kind's
+calibrated threshold and overlaps no better span is added. The trees are grown here from
+generated examples, so that no person's data is in the model, and hold a few kilobytes.
+
+Defined results: a null text has no spans and stays null; an empty one has none; texts of any
+length are taken whole; offsets are code points of the whole text, end exclusive; of
+candidates that overlap the likelier stays, of equal ones the earlier, then the longer; each
+row is by itself, so repeated rows have equal results and an empty table stays empty; columns
+of the input that are named like a result are replaced, all others kept.
 """
 
 from __future__ import annotations
 
+import ipaddress
 import random
 import re
 from functools import lru_cache
@@ -22,23 +25,28 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tidelog.llm import shared, worker
 from tidelog.llm.boosting import Trees
 
 KINDS = ("email", "ip", "card", "phone")
+#: The kinds of base formats, then what the trees alone find.
+ALL_KINDS = (*KINDS, "secret")
 _AFTER_AT = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_DIGIT = re.compile(r"[0-9]")
+_DIGIT, _LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
 
 # The generators of further candidates.
 _WRITTEN_EMAIL = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\s?(?:\(at\)|\[at\]|\bat\b|@)\s?[A-Za-z0-9-]{1,63}"
-    r"(?:\s?(?:\(dot\)|\[dot\]|\bdot\b|\.)\s?[A-Za-z0-9-]{2,24}){1,3}"
+    r"(?:(?:\s?(?:\(dot\)|\[dot\]|\bdot\b)\s?|\.)[A-Za-z0-9-]{2,24}){1,3}"
 )
-_DOT = re.compile(r"\(dot\)|\[dot\]| dot ")
-_IPV6 = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")
+_AT = re.compile(r"\(at\)|\[at\]|\bat\b|@")
+_IPV6 = re.compile(r"(?<![0-9A-Za-z:.])[0-9A-Fa-f:]{3,45}(?![0-9A-Za-z:])")
+_SECRET = re.compile(r"(?<![A-Za-z0-9_+/=.-])[A-Za-z0-9_+/-]{16,512}={0,2}(?![A-Za-z0-9_+/=-])")
+_PLAIN_PHONE = re.compile(r"(?<![0-9+A-Za-z._/-])[0-9]{9,12}(?![0-9A-Za-z_/-])")
 _LOOSE_CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20.\-/]?[0-9]){12,18}(?![0-9])")
 _LOOSE_PHONE = re.compile(r"(?<![0-9+])(?:00[0-9]{1,3}[ .-]?)?\(?[0-9]{2,4}\)?[ .\-/][0-9]{2,4}(?:[ .\-/][0-9]{2,4}){1,3}(?![0-9])")
 
@@ -48,8 +56,11 @@ _WORDS = {
     "card": ("card", "visa", "mastercard", "amex", "credit", "debit", "payment", "pan"),
     "email": ("mail", "contact", "write", "reach", "address", "e-mail"),
     "ip": ("ip", "host", "server", "address", "ping", "ssh", "login"),
-    "other": ("version", "order", "invoice", "isbn", "ticket", "serial", "chapter", "section", "date", "page", "id", "no", "price", "total"),
+    "secret": ("token", "secret", "key", "apikey", "password", "passwd", "pwd", "auth", "bearer", "credential", "credentials"),
+    "other": ("version", "order", "invoice", "isbn", "ticket", "serial", "chapter", "section", "date", "page", "id", "no", "price", "total", "commit", "file", "sha", "image", "uuid"),
 }
+#: Usual last parts of host names.
+_ENDINGS = frozenset(("com", "org", "net", "edu", "gov", "io", "info", "biz", "de", "fr", "es", "it", "nl", "pt", "uk", "us", "ch", "at", "eu"))
 _NEAR = {k: re.compile(r"(?<![a-z])(?:" + "|".join(v) + r")(?![a-z])") for k, v in _WORDS.items()}
 CONTEXT = 32
 
@@ -95,13 +106,15 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 def candidates(text: str) -> list[tuple[str, int, int]]:
     """Spans that may be personal data, overlaps included."""
     out = []
-    if _DOT.search(text) or "@" in text:
+    if _AT.search(text):
         out += [("email", *m.span()) for m in _WRITTEN_EMAIL.finditer(text)]
     if _DIGIT.search(text):
         out += [("card", *m.span()) for m in _LOOSE_CARD.finditer(text)]
         out += [("phone", *m.span()) for m in _LOOSE_PHONE.finditer(text)]
-        if ":" in text:
-            out += [("ip", *m.span()) for m in _IPV6.finditer(text)]
+        out += [("phone", *m.span()) for m in _PLAIN_PHONE.finditer(text)]
+        out += [("secret", *m.span()) for m in _SECRET.finditer(text) if _DIGIT.search(m[0]) and _LETTER.search(m[0])]
+    if ":" in text:
+        out += [("ip", *m.span()) for m in _IPV6.finditer(text) if m[0].count(":") > 1]
     return out
 
 
@@ -112,8 +125,9 @@ def features(text: str, kind: str, start: int, end: int) -> list[int]:
     before, after = text[max(0, start - CONTEXT) : start].lower(), text[end : end + CONTEXT].lower()
     kinds = {c for c in span if not c.isalnum()}
     prior, following = text[start - 1 : start], text[end : end + 1]
+    letters = [c for c in span if c.isalpha()]
     return [
-        KINDS.index(kind),
+        ALL_KINDS.index(kind),
         min(len(span), 63),
         min(len(digits), 24),
         min(sum(not c.isalnum() for c in span), 15),
@@ -127,11 +141,27 @@ def features(text: str, kind: str, start: int, end: int) -> list[int]:
         int(bool(re.fullmatch(r"(19|20)[0-9]{2}[-./ ][0-9]{1,2}[-./ ][0-9]{1,2}", span)) or bool(re.fullmatch(r"[0-9]{1,2}[-./ ][0-9]{1,2}[-./ ](19|20)[0-9]{2}", span))),
         int(prior.isalnum()) + 2 * int(prior in "#$€£:=/" and prior != ""),
         int(following.isalnum()) + 2 * int(following in "%/:=" and following != ""),
-        *[int(bool(_NEAR[k].search(before))) + 0 for k in (*KINDS, "other")],
+        *[int(bool(_NEAR[k].search(before))) for k in (*ALL_KINDS, "other")],
         *[int(bool(_NEAR[k].search(after))) for k in ("phone", "other")],
+        int(kind == "ip" and _is_ipv6(span)),
+        int(kind == "email" and span.lower().rpartition(".")[2].rpartition("dot")[2].strip(" )]") in _ENDINGS),
+        min(len(letters), 63),
+        min(len(set(span)), 40),
+        int(any(c.isupper() for c in letters)) + 2 * int(any(c.islower() for c in letters)),
+        int(all(c in "abcdefABCDEF" for c in letters)),
+        min(len(re.findall(r"[0-9]+", span)), 31),
+        int(prior in "\"'`" and prior != "") + 2 * int(bool(re.search(r"[=:]\s?[\"'`]?$", before))),
     ]
 
 
+def _is_ipv6(span: str) -> bool:
+    try:
+        ipaddress.IPv6Address(span)
+    except ValueError:
+        return False
+    return span != "::"
+
+
 def _examples(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Generated candidates: about half are personal data, the rest look like it."""
     r = random.Random(seed)
@@ -146,30 +176,52 @@ def _examples(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
                 return sep.join(d[i : i + 4] for i in range(0, k, 4))
 
     while len(y) < n:
-        kind, yes = r.choice(KINDS), r.random() < 0.5
+        kind, yes = r.choice(ALL_KINDS), r.random() < 0.5
         near = r.choice(_WORDS[kind]) if yes and r.random() < 0.85 else r.choice(_WORDS["other"]) if not yes and r.random() < 0.6 else word()
         if kind == "card":
             body = card(yes or r.random() < 0.1, r.choice((13, 14, 15, 16)), r.choice(("", " ", "-", ".", "/")))
         elif kind == "phone":
             sep = r.choice(" .-/")
             if yes:
-                body = r.choice((f"({num(3)}) {num(3)}-{num(4)}", sep.join((num(3), num(3), num(4))), f"00{num(2)} {num(3)} {num(3)} {num(3)}", sep.join((num(2), num(4), num(4)))))
+                body = r.choice((num(9), num(10), num(11), f"({num(3)}) {num(3)}-{num(4)}", sep.join((num(3), num(3), num(4))), f"00{num(2)} {num(3)} {num(3)} {num(3)}", sep.join((num(2), num(4), num(4)))))
+                if body.isdigit() and near not in _WORDS["phone"]:
+                    yes = False  # a bare number says nothing by itself
             else:
-                body = r.choice((f"{r.randint(1900, 2090)}-{r.randint(10, 12)}-{r.randint(10, 28)}", sep.join((num(2), num(2), num(4))), sep.join((num(4), num(4), num(4), num(4))), sep.join(num(r.randint(2, 4)) for _ in range(r.randint(3, 5)))))
+                body = r.choice((num(9), num(10), num(12), f"{r.randint(1900, 2090)}-{r.randint(10, 12)}-{r.randint(10, 28)}", sep.join((num(2), num(2), num(4))), sep.join((num(4), num(4), num(4), num(4))), sep.join(num(r.randint(2, 4)) for _ in range(r.randint(3, 5)))))
         elif kind == "email":
-            at, dot = r.choice(((" (at) ", " (dot) "), (" [at] ", " [dot] "), (" at ", " dot "), ("(at)", "(dot)"))) if yes else (" at ", ". ")
-            body = f"{word()}{at}{word()}{dot}{r.choice(('com', 'org', 'net', 'de')) if yes else word()}"
+            marked = ((" (at) ", " (dot) "), (" [at] ", " [dot] "), (" at ", " dot "), ("(at)", "(dot)"), (" (at) ", "."), ("[at]", "."), ("(at)", " dot "))
+            at, dot = r.choice(marked) if yes else r.choice(((" at ", "."), (" at ", " dot "), (" at", " dot ")))
+            body = f"{word()}{at}{word()}{dot}{r.choice(('com', 'org', 'net', 'de', 'fr', 'io')) if yes else word()}"
+        elif kind == "ip":
+            whole = [r.choice(("%x", "%x", "%04x")) % r.randint(0, 65535) for _ in range(8)]
+            at = r.randint(1, 6)
+            short = ":".join(whole[:at]) + "::" + ":".join(whole[at : r.randint(at + 1, 7)])
+            times = ":".join(num(2) for _ in range(r.randint(3, 6)))
+            pair = "::".join("".join(r.choice("abcdef") for _ in range(r.randint(1, 4))) for _ in range(2))
+            body = r.choice((":".join(whole), short, short, "fe80::" + ":".join(whole[4:]))) if yes else r.choice((times, times, pair, ":".join(whole[: r.randint(3, 7)])))
         else:
-            body = ":".join("%x" % r.randint(0, 65535) for _ in range(8)) if yes else ":".join(num(2) for _ in range(r.randint(4, 6)))
-        lead = " ".join(word() for _ in range(3)) + f" {near}{r.choice((': ', ' ', ' '))}"
-        text = f"{lead}{body} {word()} {word()}"
+            mixed = "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789" + "+/" * r.randint(0, 1)) for _ in range(r.randint(20, 64)))
+            digits_of = lambda k: "".join(r.choice("0123456789abcdef") for _ in range(k))
+            names = r.choice("_-/").join([word() for _ in range(r.randint(3, 6))] + [num(r.randint(1, 4))])
+            secret = r.choice((digits_of(32), digits_of(40), digits_of(64), mixed, f"{word()}_{mixed}", "AKIA" + mixed[:16].upper()))
+            secret = secret.upper() if r.random() < 0.1 else secret
+            body = secret if yes else r.choice((names, names, word() * 4 + num(2), f"IMG_{num(8)}_{num(6)}", "-".join(digits_of(k) for k in (8, 4, 4, 4, 12)), digits_of(40), num(18) + r.choice("ab")))
+            if not yes and body.isalnum() and len(body) == 40 and near not in _WORDS["other"]:
+                near = r.choice(("commit", "sha"))
+            if yes and near not in _WORDS["secret"] and len(body) < 32:
+                near = r.choice(_WORDS["secret"])
+        quote = r.choice(("", '"', "'")) if kind == "secret" else ""
+        link = r.choice((": ", " = ", "=", " ")) if kind == "secret" else r.choice((": ", " ", " "))
+        near = near.upper() if r.random() < 0.1 else near
+        lead = " ".join(word() for _ in range(3)) + f" {near}{link}{quote}"
+        text = f"{lead}{body}{quote} {word()} {word()}"
         x.append(features(text, kind, len(lead), len(lead) + len(body)))
         y.append(int(yes))
     return np.array(x), np.array(y, float)
 
 
 #: Generated examples that the trees are grown on, and as many for calibration.
-EXAMPLES = 4000
+EXAMPLES = 6000
 #: Least share of personal data among what a threshold lets pass.
 PRECISION = 0.98
 
@@ -181,17 +233,17 @@ def model() -> tuple[Trees, dict[str, float]]:
     x, y = _examples(EXAMPLES, 2)
     p = trees.calibrate(x, y).probability(x)
     thresholds = {}
-    for k, kind in enumerate(KINDS):
+    for k, kind in enumerate(ALL_KINDS):
         own = x[:, 0] == k
         order = np.argsort(-p[own])
         right = np.cumsum(y[own][order]) / np.arange(1, own.sum() + 1)
         good = np.flatnonzero(right >= PRECISION)
-        thresholds[kind] = max(0.8, float(p[own][order][good[-1]])) if len(good) else 1.1
+        thresholds[kind] = max(0.9, float(p[own][order][good[-1]])) if len(good) else 1.1
     return trees, thresholds
 
 
 def find(text: str, trees: Trees, thresholds: dict[str, float]) -> tuple[list, list]:
-    """(base spans, all spans), both by kind as in KINDS and then by start."""
+    """(base spans, all spans), both by kind as in ALL_KINDS and then by start."""
     base = base_spans(text)
     more = [c for c in candidates(text) if not any(k == c[0] and s < c[2] and c[1] < e for k, s, e in base)]
     if not more:
@@ -201,7 +253,7 @@ def find(text: str, trees: Trees, thresholds: dict[str, float]) -> tuple[list, l
     for score, c in sorted(zip(scores, more), key=lambda x: (-x[0], x[1][1], -x[1][2])):
         if score >= thresholds[c[0]] and not any(s < c[2] and c[1] < e for _, s, e in kept):
             kept.append(c)
-    return base, sorted(kept, key=lambda c: (KINDS.index(c[0]), c[1]))
+    return base, sorted(kept, key=lambda c: (ALL_KINDS.index(c[0]), c[1]))
 
 
 def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
@@ -225,6 +277,7 @@ def _detector(with_text: bool):
 
     @F.pandas_udf(schema)
     def detect(texts: pd.Series) -> pd.DataFrame:
+        worker.enter("pii")
         rows = []
         for text in texts:
             base, spans = find(text, trees, thresholds) if text else ((), ())
@@ -244,15 +297,17 @@ RESULTS = ("n_email", "n_ip", "n_card", "n_phone", "base_spans", "spans")
 
 def detected(docs: DataFrame) -> DataFrame:
     """docs with counts of the base formats, base_spans and spans (kind:start:end, comma-joined)."""
-    found = docs.withColumn("_pii", _detector(False)(F.col("text")))
-    return found.withColumns({c: F.col(f"_pii.{c}") for c in RESULTS}).drop("_pii")
+    own = shared.free(docs, "_pii")
+    found = docs.withColumn(own, _detector(False)(F.col("text")))
+    return found.withColumns({c: F.col(f"{own}.{c}") for c in RESULTS}).drop(own)
 
 
 def redacted(docs: DataFrame) -> DataFrame:
     """docs with every span replaced in text, and n_chars of the new text; no other column changes."""
-    found = docs.withColumn("_pii", _detector(True)(F.col("text")))
-    out = found.withColumn("text", F.col("_pii.redacted"))
+    own = shared.free(docs, "_pii")
+    found = docs.withColumn(own, _detector(True)(F.col("text")))
+    out = found.withColumn("text", F.col(f"{own}.redacted"))
     if "n_chars" in docs.columns:
-        changed = F.length(F.col("_pii.spans")) > 0
+        changed = F.length(F.col(f"{own}.spans")) > 0
         out = out.withColumn("n_chars", F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.drop("_pii").select(*docs.columns)
+    return out.drop(own).select(*docs.columns)
