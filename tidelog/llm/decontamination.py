@@ -11,9 +11,12 @@ with the words around it; a benchmark of more seeds takes more blocks, so what i
 at a time has a fixed bound. Texts are read once a block and never shuffled for the search.
 
 Defined results: null and empty texts hold no passage; items without text, or of fewer than
-LEAST_WORDS words, are no passages; items too short for the masks must occur whole and
-unchanged; repeated items are found each; rows are named by the key columns, so equal keys
-share one result row for an item; an empty table gives an empty one.
+LEAST_WORDS words (any text would hold those), are no passages; items of LEAST_WORDS to SPAN - 1
+words, too short for the masks, must occur whole and unchanged; repeated items are found each;
+texts are taken whole, of any length; of several places of an item in a text (ties) the most
+equal words count, and hits counts all; rows are named by the key columns, so equal keys share
+one result row for an item; other columns, whatever their names, are carried by clean() alone;
+an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -22,8 +25,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Places of the words that count, from the first (fixed values).
-MASKS = ((0, 1, 3, 5, 6), (0, 2, 3, 6, 7), (0, 1, 4, 6, 7))
+from tidelog.llm import shared
+
+#: Places of the words that count, from the first. Found by going through all sets of three: with
+#: these, however the words that SHARE allows to differ lie in SPAN to WINDOW words in a row, one
+#: mask meets none of them in some place.
+MASKS = ((0, 1, 2, 3, 6), (0, 1, 5, 6, 7), (0, 2, 3, 6, 7))
 SPAN = 1 + max(max(m) for m in MASKS)
 WINDOW, SHARE = 15, 0.8
 LEAST_WORDS = 5
@@ -142,5 +149,6 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs whose texts hold no benchmark passage."""
     name = F.unhex(F.md5("text"))
     found = passages(docs, benchmark, {"_text_md5": name}).select("_text_md5").distinct()
+    found, seen = shared.measured(found, "contaminated")
     row = docs.select(F.struct(*docs.columns).alias("_row"), name.alias("_own_md5"))
-    return row.join(found, F.col("_own_md5") == F.col("_text_md5"), "left_anti").select("_row.*")
+    return row.join(shared.side(found, seen["rows"]), F.col("_own_md5") == F.col("_text_md5"), "left_anti").select("_row.*")
