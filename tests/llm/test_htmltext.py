@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -22,6 +24,22 @@ CASES = [
     ("<dl><dt>k<dd>v<dt>l<dd>w</dl>", "k\n  v\nl\n  w"),
     ("<p>x<!-- never ends", "x"),
     ("<head><meta charset=utf-8><p>body text", "body text"),
+    ("<p class=x>shown</p><style>/* .x{} */ .x, #y {display:none} p.z{visibility:hidden}</style><p class='x w'>a<p id=y>b<p class=z>c<div class=z>d</div>", "d"),
+    ("<style>.x{display:none} .x.k{display:block} @media print{p{display:none}} @media screen{b{display:none}} div p{display:none}</style><div><p class='x k'>kept <b>gone</b></p></div>", "kept"),
+    ("<style>#a{display:none} .b{display:none !important}</style><p id=a style='display:block'>one<p class=b style='display:block'>two", "one"),
+    ("<!-- <style>p{display:none}</style> --><script>'<style>p{display:none}</style>'</script><p>x", "x"),
+    ("<div style='visibility:hidden'>a<span style='visibility:visible'>b</span>c</div>", "b"),
+    ("<div hidden style='display:block'>shown</div>", "shown"),
+    ("<table><tr><td rowspan=2>A<td>B<tr><td>C<tr><td>D<td>E</table>", "A  B\n   C\nD  E"),
+    ("<table><tr><td rowspan=0>A<td>B<tr><td>C<tr><td>D</table>", "A  B\n   C\n   D"),
+    ("<table><tr><td>日本<td>x<tr><td>abc<td>y<tr><td>e\u0301t<td>z</table>", "日本  x\nabc   y\ne\u0301t    z"),
+    ("size <select><option>S<option selected>M<option>L</select> ok", "size M ok"),
+    ("<select><option>first<option>second</select>", "first"),
+    ("<select multiple><option>a<option>b</select>", "a\nb"),
+    ("<svg><title>t</title><desc>d</desc><text>drawn</text></svg>", "drawn"),
+    ("<input type=submit value=Go><input type=hidden value=no>", "Go"),
+    ("<p>a" + "<b>" * 70 + "b</p>c", "ab\n\nc"),
+    ("<body style='display:none'>x", ""),
 ]
 
 
@@ -35,6 +53,12 @@ def test_deep_nesting_and_long_pages():
     assert v("<b>" * 20_000 + "x") == "x"
     assert len(v("<p>word</p>" * 20_000).split("\n\n")) == 20_000
     assert v("<" * 20_000) == "<" * 20_000
+    began = time.process_time()
+    assert v("<b>" * 20_000 + "x" + "</i>" * 20_000) == "x"
+    assert v("<b>" * 20_000 + "<p>" * 20_000 + "x") == "x"
+    assert v("<table><td>" + "<i>" * 20_000 + "x" + "</b>" * 20_000) == "x"
+    assert v("<style>" + ".a{display:none}" * 20_000 + "</style>" + "<p class=b>" * 2_000 + "x") == "x"
+    assert time.process_time() - began < 10
 
 
 @settings(max_examples=300, deadline=None)
