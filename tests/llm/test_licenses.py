@@ -52,3 +52,27 @@ def test_wrapped_notices_are_found():
             wrapped = "\n".join("# " + x for x in textwrap.wrap(t, 50))
             got = list(lc.paragraphs(f"prose line\n\n{wrapped}\n\nmore prose", fitted))
             assert [g[:2] for g in got] == [(2, family)], (t, got)
+
+
+def test_ids_of_any_kind_go_through_unchanged(spark):
+    line = "Released under the MIT License."
+    big = 1152921504606846977
+    got = lc.scanned(spark.createDataFrame([(big, line), (None, line), (big, line)], "doc_id long, text string")).collect()
+    assert Counter(r.doc_id for r in got) == Counter({big: 2, None: 1})
+    got = lc.scanned(spark.createDataFrame([("a", line), (None, "x")], "doc_id string, text string")).collect()
+    assert [r.doc_id for r in got] == ["a"]
+
+
+def test_a_notice_in_a_very_long_text(spark):
+    text = "some prose of no account\n" * 40_000 + "Released under the MIT License.\n" + "more\n\n" * 20_000
+    got = lc.scanned(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert [(r.paragraph, r.family) for r in got] == [(40_000, "MIT")]
+
+
+def test_families_hold_on_templates_left_out(monkeypatch):
+    """Fitted without one template of a family that has several, the rest still names it, or leaves it unknown: never another."""
+    texts = [(family, t) for family, own in lc.TEMPLATES.items() if len(own) > 2 for t in own[-1:]]
+    monkeypatch.setattr(lc, "TEMPLATES", {f: [t for t in own if (f, t) not in texts] for f, own in lc.TEMPLATES.items()})
+    fitted = lc.model.__wrapped__()
+    named = [(family, lc.classify(t, fitted)) for family, t in texts]
+    assert texts and all(got is None or got[0] == family for family, got in named)

@@ -23,7 +23,7 @@ import zlib
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 BUCKETS = 1 << 15
@@ -239,17 +239,24 @@ def paragraphs(text: str, fitted):
 
 
 def scanned(docs: DataFrame, key: str = "doc_id") -> DataFrame:
-    """key, paragraph (from 0, lines without words counted), family, probability, template_share."""
+    """key, paragraph (from 0, lines without words counted), family, probability, template_share.
+
+    The key goes through as it is, whatever its type and nulls.
+    """
     fitted = model()
     kind = docs.schema[key].dataType.simpleString()
 
     def scan(batches):
         for batch in batches:
-            rows = []
-            for name, text in zip(batch[key], batch["text"]):
+            at, rows = [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
                 if text and may_hold(text):
-                    rows += [(None if pd.isna(name) else name, *got) for got in paragraphs(text, fitted)]
-            yield pd.DataFrame(rows, columns=[key, "paragraph", "family", "probability", "template_share"]).astype({key: object})
-
-    schema = f"{key} {kind}, paragraph long, family string, probability double, template_share double"
-    return docs.select(key, "text").mapInPandas(scan, schema)
+                    found = list(paragraphs(text, fitted))
+                    at += [i] * len(found)
+                    rows += found
+            line, family, probability, share = zip(*rows) if rows else ((), (), (), ())
+            columns = [batch.column(0).take(pa.array(at, pa.int64())), pa.array(line, pa.int64()), pa.array(family, pa.string()), pa.array(probability, pa.float64()), pa.array(share, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, [key, "paragraph", "family", "probability", "template_share"])
+
+    schema = f"`{key}` {kind}, paragraph long, family string, probability double, template_share double"
+    return docs.select(key, "text").mapInArrow(scan, schema)
