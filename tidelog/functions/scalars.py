@@ -105,10 +105,11 @@ def record_bytes() -> Column:
     return total + pairs_bytes(F.col("resource_attributes")) + pairs_bytes(F.col("log_attributes"))
 
 
-def span_bytes() -> Column:
+def span_bytes(name: str = "name") -> Column:
+    """Approximate bytes of a span: a fixed part, its strings and its attributes."""
     return (
         F.lit(SPAN_BYTES).cast("bigint")
-        + F.octet_length("name")
+        + F.octet_length(name)
         + F.octet_length("status_message")
         + F.octet_length(F.coalesce("service_name", F.lit("")))
         + pairs_bytes(F.col("resource_attributes"), SPAN_PAIR_BYTES)

@@ -13,16 +13,16 @@ SOURCE, SINK, SCHEMA_VERSION = "demo", "table", 1
 DATABASE, TABLE, VERSION = "obs", "logs", 1
 
 
-def chunked(df: DataFrame, max_rows: int = MAX_CHUNK_ROWS, max_bytes: int = MAX_CHUNK_BYTES) -> DataFrame:
+def chunked(df: DataFrame, max_rows: int = MAX_CHUNK_ROWS, max_bytes: int = MAX_CHUNK_BYTES, size: Column | None = None) -> DataFrame:
     """df with record_bytes and chunk_index, numbered in each batch in coordinate order.
 
     A new chunk starts where a record would pass either limit; limits below one count as one. The
     fold over one batch depends on every record before, so the sizes of a batch (which the source
     bounds) meet in one row; it keeps only where chunks start, and rows find theirs from that.
-    Records of equal coordinates fall into one chunk.
+    Records of equal coordinates fall into one chunk. size: bytes of a record, a log's if not given.
     """
     max_rows, max_bytes = max(max_rows, 1), max(max_bytes, 1)
-    sized = df.withColumn("record_bytes", S.record_bytes())
+    sized = df.withColumn("record_bytes", S.record_bytes() if size is None else size)
     batch = ["src_manifest_path", "src_sequence"]
     place = F.struct("src_entry_index", "src_record_index")
     sizes = F.array_sort(F.collect_list(F.struct("src_entry_index", "src_record_index", "record_bytes")))
@@ -51,9 +51,9 @@ def chunked_by_rows(df: DataFrame, max_rows: int) -> DataFrame:
     return df.withColumn("chunk_index", F.floor((F.row_number().over(order) - 1) / max(max_rows, 1)))
 
 
-def tokens(chunks: DataFrame, max_rows: int, max_bytes: int, database: str = DATABASE, table: str = TABLE, version: int = VERSION) -> DataFrame:
+def tokens(chunks: DataFrame, max_rows: int, max_bytes: int, database: str = DATABASE, table: str = TABLE, version: int = VERSION, signal: str = "logs") -> DataFrame:
     """One row for each chunk with its rows and idempotency token."""
-    mark = S.fingerprint(F.lit(S.fingerprint_text(database, table, version, max_rows, max_bytes)))
+    mark = S.fingerprint(F.lit(S.fingerprint_text(database, table, version, max_rows, max_bytes, signal=signal)))
     sequence = F.col("src_sequence")
     grouped = chunks.groupBy("src_manifest_path", "src_sequence", "chunk_index").agg(F.count("*").alias("chunk_rows"))
     return grouped.withColumn("token", S.dedupe_token(F.col("src_manifest_path"), f"{database}.{table}", sequence, sequence, version, mark, F.col("chunk_index")))
