@@ -3,7 +3,7 @@ import zlib
 
 import pytest
 
-from tidelog.llm import sharding
+from tidelog.llm import registry, sharding
 
 
 def _rows(spark, rows, schema="doc_id long, text string, size string"):
@@ -49,5 +49,20 @@ def test_copies_beyond_one_block(spark, monkeypatch):
     _check(sharding.shards(_rows(spark, [(d, t, None) for d, t in texts]), 4, buckets=4).collect(), texts, 4)
 
 
+def test_the_query_over_documents(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    rows = registry.op2_feistel_shards(spark, sf).collect()
+    _check(rows, texts, 40)
+    assert {r.law for r in rows} == {"rows"} and {r.grown_shard for r in rows} == {None}
+
+
+def test_more_buckets_for_more_rows(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 10)
+    texts = [(f"id{i}", "x" * i) for i in range(300)] + [("long", "é" * 3_000_000)]
+    df = _rows(spark, [(d, t, None) for d, t in texts], "doc_id string, text string, size string")
+    _check(sharding.shards(df, 4, buckets=2).collect(), texts, 4)
+
+
 def test_empty_table(spark):
     assert sharding.shards(_rows(spark, [])).collect() == []

@@ -9,7 +9,8 @@ table. Shard sizes differ by one row at most.
 Defined results: a null text has size 16 and CRC 0, like an empty one; a null doc_id is a
 key as any other; repeated rows get as many neighbouring numbers as there are copies, so
 which of several identical rows has which place does not matter; an empty table gives no
-rows; columns other than doc_id and text are not read.
+rows; columns other than doc_id and text are not read, whatever their names; texts of any length are
+read whole, for their size and CRC alone.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ from pyspark.sql.window import Window
 from tidelog.llm import shared
 
 ROUNDS = 6
-#: Buckets of the global order. Each is sorted in one task, so the number goes up with the input.
-BUCKETS = 4096
+#: Buckets of the global order, at least, and different rows in one: each is sorted in one task, so
+#: their number goes up with the input (400,000 for 100 billion rows, three numbers each).
+BUCKETS, BUCKET_ROWS = 4096, 250_000
 #: Copies of one row that one task lists at a time.
 BLOCK = 1 << 16
 #: Steps along the cycle before the walk of full length is taken.
@@ -90,8 +92,9 @@ def numbered(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     rows = docs.select("doc_id", (F.length(body) + 16).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
     counted = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count("*").alias("copies"))
     mark = F.xxhash64(F.col("doc_id"), F.col("size"), F.col("text_crc32"))
-    counted = counted.withColumn("mark", mark).withColumn("bucket", F.pmod(F.col("mark"), F.lit(buckets)))
-    counted = shared.written(counted, "numbered")  # both uses below; the texts are read once
+    counted, seen = shared.measured(counted.withColumn("mark", mark), "numbered")  # for both uses below; the texts are read once
+    buckets = max(buckets, seen["rows"] // BUCKET_ROWS)
+    counted = counted.withColumn("bucket", F.pmod(F.col("mark"), F.lit(buckets)))
     starts = (
         counted.groupBy("bucket")
         .agg(F.sum("copies").alias("rows"))
