@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.operators import envelope, frontier, metrics, planning, search, signals, table, values
+from tidelog.streaming import queries as runs
 
-MODULES = (search, table, planning, envelope, frontier, values, metrics, signals)
+MODULES = (search, table, planning, envelope, frontier, values, metrics, signals, runs)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
