@@ -134,7 +134,7 @@ def test_byte_model_equals_the_definition(spark):
 
         probes = [*levels[-1], b"zzzzzz", b"he cax", b" the q"]
         packed = np.array([int.from_bytes(g, "big") for g in probes], np.uint64)
-        assert np.allclose(model.probabilities(m, packed), [chance(g) for g in probes], rtol=1e-5)
+        assert np.allclose(model.probabilities(np.full(len(packed), m), packed), [chance(g) for g in probes], rtol=1e-5)
 
 
 def test_junk_between_clean_words_is_rejected(spark):
@@ -143,3 +143,13 @@ def test_junk_between_clean_words_is_rejected(spark):
     rows = px.judged(docs).join(labels, "doc_id").where("not base_failed").collect()
     junk, clean = ([r.kept for r in rows if r.quality == k] for k in (0, 1))
     assert sum(junk) < 0.01 * len(junk) and sum(clean) > 0.99 * len(clean)
+
+
+def test_columns_that_clash_and_a_very_long_text(spark):
+    text = "some words of a kind that repeat little " * 3
+    long = " ".join(f"word{i}" for i in range(200_000))
+    df = spark.createDataFrame([(1, text, "en", 5, 6.0, "m", 9), (2, long, "en", 5, 6.0, "m", 9), (2, long, None, 5, 6.0, "m", 9)], "doc_id long, text string, lang string, model int, nats double, _m string, KEPT int")
+    got = px.judged(df).orderBy("n_words").collect()
+    assert got[0].__fields__[:6] == ["doc_id", "text", "lang", "model", "nats", "_m"] and "KEPT" not in got[0].__fields__
+    assert [(r.model, r.nats, r._m) for r in got] == [(5, 6.0, "m")] * 3 and [r.n_words for r in got] == [24, 200_000, 200_000]
+    assert px.kept(df).columns == df.columns

@@ -43,3 +43,19 @@ def test_stages_keep_the_columns_of_documents(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, SF)
         assert out.schema.names == docs.schema.names and out.collect() == []
+
+
+def test_stages_with_clashing_columns_nulls_and_repeated_rows(spark):
+    import random
+
+    r = random.Random(2)
+    prose = lambda: " ".join(r.choice(("the", "river", "runs", "past", "old", "mills", "and", "fields", "of", "grain")) + str(r.randrange(40)) for _ in range(120))
+    texts = [prose() for _ in range(30)]
+    rows = [(i if i % 9 else None, t, "en", None, len(t or ""), i, "a", float(i), True, None) for i, t in enumerate([*texts, texts[3], texts[3], "", None, "short"])]
+    names = "doc_id long, text string, lang string, source string, n_chars long, tid int, _row string, marks double, _Kept_ boolean, Model string"
+    docs = spark.createDataFrame(rows, names)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        assert out.columns[: len(docs.columns)] == docs.columns, name
+        assert out.count() <= len(rows), name
+    assert corpus_pipeline.STAGES[1][1](spark, docs, SF).where("text is not null").count() == 32

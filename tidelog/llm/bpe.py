@@ -12,8 +12,8 @@ Equal long texts are encoded once and joined back by their SHA-256. Texts up to
 one chunk and take no shuffle.
 
 Defined results: null text is as the empty text, which has no ids and decodes to no bytes;
-columns of the input named like a result are replaced, all others kept; an empty table
-stays empty.
+rows of equal texts (ties) get equal ids; texts of any length are encoded whole; columns of
+the input named like a result are replaced, all others kept; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame, functions as F
 
+from tidelog.llm import worker
+
 CHUNK, OVERLAP = 1 << 16, 1 << 10
 #: Pieces whose ids a worker keeps; beyond that it starts afresh.
 CACHE = 100_000
@@ -83,10 +85,18 @@ _BIG_ENDIAN = array("H", [1]).tobytes() == b"\x00\x01"
 
 
 @lru_cache(maxsize=2)
-def vocabulary(path: str) -> Vocabulary:
+def _vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+worker.keeps("bpe", _vocabulary.cache_clear)
+
+
+def vocabulary(path: str) -> Vocabulary:
+    worker.enter("bpe")
+    return _vocabulary(path)
+
+
 def pretokenised(pattern, text: str, start: int, last: bool) -> list[int]:
     """start and the ends of the matches in a chunk that starts at start; unless last, only what later text can't change."""
     out, n = [start], len(text)
@@ -114,7 +124,8 @@ def stitched(pattern, n: int, chunks: list[list[int]], read) -> list[int]:
                 more = pretokenised(pattern, read(known[-1], known[-1] + size), known[-1], known[-1] + size >= n)
             known += more[1:]
         i, j = at
-        known = known[: i + 1] + own[j + 1 :]
+        del known[i + 1 :]  # in place: a text has many chunks
+        known += own[j + 1 :]
     if known[-1] < n:
         raise RuntimeError("the last chunk must reach the end of the text")
     return known

@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from tidelog.llm import shared, textbatch
+from tidelog.llm import shared, textbatch, worker
 
 ORDER = 6
 FOLDS = 2
 UNIT = 1 << 16
-LEAST_PARTS = 96
+LEAST_PARTS = 32
 #: N-grams that a task counts before it hands them on, and scores that a worker remembers (2**x).
-HELD, REMEMBERED = 2_000_000, 22
+HELD, REMEMBERED = 600_000, 22
 _ALL = np.uint64((1 << 64) - 1)
 _SPACE = np.uint64(0x20)
 #: A gram's number has its model's in the bits above.
@@ -39,13 +39,14 @@ def grams(body: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The ORDER bytes that end at each byte, the last one lowest; before its text stand spaces."""
     wide = body.astype(np.uint64)
     out = wide.copy()
-    for k in range(1, ORDER):
-        earlier = np.full(len(wide), _SPACE)
-        earlier[k:] = wide[:-k] if k < len(wide) else 0
-        for j in range(k):
-            at = offsets[:-1] + j
-            earlier[at[at < offsets[1:]]] = _SPACE
-        out |= earlier << np.uint64(8 * k)
+    for k in range(1, min(ORDER, len(wide))):
+        out[k:] |= wide[:-k] << np.uint64(8 * k)
+    spaces = _SPACE * np.uint64(0x010101010101)
+    for j in range(ORDER - 1):  # the first bytes of a text look back beyond its start
+        at = offsets[:-1] + j
+        at = at[at < offsets[1:]]
+        own = np.uint64((1 << 8 * (j + 1)) - 1)
+        out[at] = (out[at] & own) | (spaces & ~own)
     return out
 
 
@@ -91,6 +92,7 @@ def _unpacked(x: bytes, size: int) -> np.ndarray:
 
 def _count(parts: int, languages: int, index):
     def count(batches):
+        worker.enter("perplexity")
         held, size = [], 0
 
         def handed(named, n):
@@ -104,7 +106,7 @@ def _count(parts: int, languages: int, index):
 
         for batch in batches:
             lang = index(batch.column(0))
-            for at, to, body, offsets in textbatch.slices(batch.column(1), 4 << 20):
+            for at, to, body, offsets in textbatch.slices(batch.column(1)):
                 if not len(body):
                     continue
                 model = (folds(body, offsets) * languages + lang[at:to]).astype(np.uint64) << _MODEL
@@ -117,7 +119,10 @@ def _count(parts: int, languages: int, index):
                         yield handed(*held[0])
                         held, size = [], 0
         if held:
-            yield handed(*_merged(*(np.concatenate(x) for x in zip(*held))))
+            last = handed(*_merged(*(np.concatenate(x) for x in zip(*held))))
+            del held
+            yield last
+        worker.trim()
 
     return count
 
@@ -162,6 +167,7 @@ def _tables(named: np.ndarray, n: np.ndarray):
 
 def _build(folder: str):
     def build(batches):
+        worker.enter("perplexity")
         held: dict[int, list] = {}
         for batch in batches:
             for part, size, named, n in zip(*(x.to_pylist() for x in batch.columns)):
@@ -178,7 +184,9 @@ def _build(folder: str):
                     out.write(x.tobytes())
             store.move(draft, f"{path}/{p}")
             columns = [np.array(x, np.int64) for x in zip(*rows)]
+            del grams_, contexts, rows, named, own
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["model", "order", "code", "n"])
+        worker.trim()
 
     return build
 
@@ -198,7 +206,7 @@ def _low(n: np.ndarray) -> np.ndarray:
         total = own.sum(1, keepdims=True)
         safe = np.maximum(total, 1)
         p = np.where(total > 0, (own - cut) / safe + cut.sum(1, keepdims=True) / safe * p, p)
-    return p.ravel()
+    return p.ravel().astype(np.float32)
 
 
 class ByteModels:
@@ -231,6 +239,10 @@ class ByteModels:
                 discounts[m, k] = _discounts(np.bincount(code[own], n[own], 5).astype(np.int64)[1:].tolist())
         return cls(folder, parts, languages, low, discounts)
 
+    @classmethod
+    def forget(cls) -> None:
+        cls._mapped, cls._known = {}, {}
+
     def _tables(self, part: int):
         if ByteModels._mapped.get("folder") != self.folder:
             ByteModels._mapped = {"folder": self.folder}
@@ -251,9 +263,16 @@ class ByteModels:
                 )
         return ByteModels._mapped[part]
 
-    def probabilities(self, m: int, gram: np.ndarray) -> np.ndarray:
-        """Of the last byte of each gram after the others, by model m."""
-        p = self.low[m][_ending(gram, 2).astype(np.int64)]
+    def probabilities(self, m: np.ndarray, gram: np.ndarray) -> np.ndarray:
+        """Of the last byte of each gram after the others, by model m of each."""
+        models = np.array(sorted(self.low))
+        at = np.searchsorted(models, m)
+        p, pair = np.empty(len(gram)), _ending(gram, 2).astype(np.int64)
+        for i in np.unique(at).tolist():
+            own = np.flatnonzero(at == i)
+            p[own] = self.low[int(models[i])][pair[own]]
+        # Discounts of counts 0 to 3 by model and order.
+        cuts = {k: np.stack([np.concatenate([[0.0], self.discounts[int(x), k]]) for x in models]) for k in range(3, ORDER + 1)}
         prefix = _prefix(gram)
         part = _part(prefix, self.parts)
         order = np.argsort(part, kind="stable")
@@ -264,44 +283,47 @@ class ByteModels:
             if tables is None:
                 continue
             (keys, count), (context_keys, sums) = tables
-            q, pre = p[own], prefix[own]
             for k in range(3, ORDER + 1):
-                g = _ending(gram[own], k)
-                key = _key(pre, g >> np.uint64(8), m, k, True)
-                at = np.minimum(np.searchsorted(context_keys, key), len(context_keys) - 1)
-                some = np.flatnonzero(context_keys[at] == key)
+                g, model = _ending(gram[own], k), m[own]
+                key = _key(prefix[own], g >> np.uint64(8), model, k, True)
+                place = np.minimum(np.searchsorted(context_keys, key), len(context_keys) - 1)
+                some = np.flatnonzero(context_keys[place] == key)
                 if not len(some):
                     break  # no longer context is known either
-                of = sums[at[some]].astype(np.float64)
-                cut = self.discounts[m, k]
-                key = _key(pre[some], g[some], m, k)
-                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                n = np.where(keys[at] == key, count[at], 0).astype(np.float64)
-                less = np.concatenate([[0.0], cut])[np.minimum(n, 3).astype(np.int64)]
-                q[some] = (n - less + (of[:, 1:] @ cut) * q[some]) / of[:, 0]
-            p[own] = q
+                own, g, model = own[some], g[some], model[some]
+                of = sums[place[some]].astype(np.float64)
+                cut = cuts[k][at[own]]
+                key = _key(prefix[own], g, model, k)
+                place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                n = np.where(keys[place] == key, count[place], 0).astype(np.float64)
+                less = cut[np.arange(len(n)), np.minimum(n, 3).astype(np.int64)]
+                p[own] = (n - less + (of[:, 1:] * cut[:, 1:]).sum(1) * p[own]) / of[:, 0]
         return p
 
     def scores(self, body: np.ndarray, offsets: np.ndarray, model: np.ndarray) -> np.ndarray:
         """Log-probability of each byte, in UNITs, by its text's model; by chance alone where that is -1."""
-        out = np.full(len(body), round(np.log(1 / 256) * UNIT), np.int32)
-        of_byte = np.repeat(model, np.diff(offsets))
-        some = np.flatnonzero(of_byte >= 0)
-        named = grams(body, offsets)[some] | (of_byte[some].astype(np.uint64) << _MODEL)
+        named = grams(body, offsets)
+        named |= np.repeat(np.maximum(model, 0).astype(np.uint64) << _MODEL, np.diff(offsets))
         if ByteModels._known.get("folder") != self.folder:
             slots = 1 << REMEMBERED
             ByteModels._known = {"folder": self.folder, "named": np.full(slots, _ALL), "scores": np.zeros(slots, np.int32)}
         names, known = ByteModels._known["named"], ByteModels._known["scores"]
-        slot = (textbatch.mix(named) >> np.uint64(64 - REMEMBERED)).astype(np.int64)
-        got, new = known[slot], np.flatnonzero(names[slot] != named)
+        slot = textbatch.mix(named)
+        slot >>= np.uint64(64 - REMEMBERED)
+        slot = slot.view(np.int64)
+        got, miss = known[slot], names[slot] != named
+        none = model < 0  # texts that no model may score: by chance alone
+        if none.any():
+            miss &= np.repeat(~none, np.diff(offsets))
+        new = np.flatnonzero(miss)
         if len(new):
             fresh, which = np.unique(named[new], return_inverse=True)
-            first = np.append(_runs(fresh >> _MODEL), len(fresh))
-            score = np.concatenate([self.probabilities(int(fresh[a] >> _MODEL), fresh[a:b] & _GRAM) for a, b in zip(first, first[1:])])
+            score = self.probabilities((fresh >> _MODEL).astype(np.int64), fresh & _GRAM)
             score = np.rint(np.log(score) * UNIT).astype(np.int32)
             got[new] = score[which]
             # Of grams that share a slot one stays, with its own score.
             slot, at = np.unique(slot[new], return_index=True)
             names[slot], known[slot] = named[new[at]], got[new[at]]
-        out[some] = got
-        return out
+        if none.any():
+            got[np.repeat(none, np.diff(offsets))] = round(np.log(1 / 256) * UNIT)
+        return got

@@ -58,10 +58,10 @@ BROADCAST_BYTES = 8 << 20
 WIDE = 8
 
 
-def _multisets(column: pa.Array):
+def _multisets(column: pa.Array, limit: int = textbatch.SLICE):
     """(first row, rows, element, text, count) for slices of a column of texts."""
     worker.enter("neardup")
-    for at, to, body, offsets in textbatch.slices(column):
+    for at, to, body, offsets in textbatch.slices(column, limit):
         starts, ends, owner = textbatch.words(body, offsets)
         hashes = textbatch.word_hashes(body, starts, ends)
         yield at, to - at, *bagminhash.multiset(*textbatch.shingle_hashes(hashes, owner, to - at, SHINGLE))
@@ -71,10 +71,11 @@ def _multisets(column: pa.Array):
 def _bands(text: pa.Array) -> pa.Array:
     out = np.zeros((len(text), BANDS), np.uint64)
     some = np.zeros(len(text), bool)
-    for at, n, element, owner, count in _multisets(text):
+    for at, n, element, owner, count in _multisets(text, textbatch.SLICE // 2):
         times = bagminhash.signatures(element, owner, count, n, BANDS * ROWS)
         out[at : at + n] = bagminhash.bands(times, ROWS)
         some[at + np.unique(owner)] = True
+    worker.trim()
     sizes = np.concatenate([[0], np.cumsum(np.where(some, BANDS, 0))]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(sizes), pa.array(out[some].ravel().view(np.int64)))
 
@@ -99,6 +100,7 @@ def _similarity(a: pa.Array, b: pa.Array) -> pa.Array:
         both = np.bincount((shared_keys >> np.uint64(50)).astype(np.int64), np.minimum(counts[0][i], counts[1][j]), minlength=n)
         out[at:to] = both / np.maximum(totals - both, 1)
         at = to
+    worker.trim()
     return pa.array(out)
 
 
@@ -110,13 +112,14 @@ def _fine(text: pa.Array) -> pa.Array:
     """Keys of the fine buckets and the bits of each component of the sketch, in planes."""
     fine = np.zeros((len(text), FINE_BANDS), np.uint64)
     planes = np.zeros((len(PLANES), len(text), SKETCH // 64), np.int64)
-    for at, n, element, owner, count in _multisets(text):
+    for at, n, element, owner, count in _multisets(text, textbatch.SLICE // 8):  # long signatures take memory by the text
         times = bagminhash.signatures(element, owner, count, n, FINE_BANDS * FINE_ROWS)
         fine[at : at + n] = bagminhash.bands(times, FINE_ROWS)
         bits = textbatch.mix(times[:, :SKETCH].view(np.uint64))
         for k in range(len(PLANES)):
             one = ((bits >> np.uint64(k)) & np.uint64(1)).astype(np.uint8)
             planes[k, at : at + n] = np.packbits(one, axis=1).view(np.int64)
+    worker.trim()
     lists = [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.int64())) for x in (fine.view(np.int64), *planes)]
     return pa.StructArray.from_arrays(lists, ["fine", *PLANES])
 
@@ -267,11 +270,12 @@ def classes(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs with one row of each class: that of the least doc_id, then the least text hash."""
     judged = classes(docs).where("tid is not null").groupBy("tid", "doc_id").agg(F.first("kept").alias("kept"), F.count("*").alias("copies"))
-    special = shared.written(judged.where("not kept or copies > 1").select("tid", F.col("doc_id").alias("_id"), F.col("kept").alias("_kept")), "special")
+    special = judged.where("not kept or copies > 1").select("tid", F.col("doc_id").alias("_id"), F.col("kept").alias("_kept"))
+    special, seen = shared.measured(special, "special", repeated=F.count_if("_kept"))
     row = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_doc"), F.unhex(F.md5("text")).alias("_tid"))
-    joined = row.join(special, (F.col("_tid") == F.col("tid")) & F.col("_doc").eqNullSafe(F.col("_id")), "left")
+    joined = row.join(shared.side(special, seen["rows"]), (F.col("_tid") == F.col("tid")) & F.col("_doc").eqNullSafe(F.col("_id")), "left")
     out = joined.where("_kept is null").select("_row.*")
-    if not special.where("_kept").isEmpty():
+    if seen["repeated"]:
         once = joined.where("_kept").groupBy("_tid", "_doc").agg(F.first("_row").alias("_row"))
         out = out.unionByName(once.select("_row.*"))
     return out

@@ -14,8 +14,10 @@ median + WIDTH such deviations; documents outside are rejected.
 
 Defined results: a null text has no words and counts as empty; an empty text has perplexity
 null and fails the base rules; languages not in LANGUAGES, null among them, share one model
-and band; equal texts of a language have equal results, so ties cannot matter; columns of
-the input named like a result are replaced, all others kept; an empty table stays empty.
+and band; equal texts of a language have equal results, so ties and repeated rows cannot
+matter; texts of any length are scored whole, in slices of one text at least; columns of the
+input named like a result (in any case) are replaced, all others kept; an empty table stays
+empty.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidelog.llm import shared, textbatch
+from tidelog.llm import shared, textbatch, worker
 from tidelog.llm.bytemodel import ByteModels, folds
 
 ORDER, BITS = 4, 5
@@ -76,20 +78,23 @@ def language_index(lang: pa.Array) -> np.ndarray:
 
 
 def _count(batches):
+    worker.enter("perplexity")
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         lang = language_index(batch.column(0))
-        for at, to, body, offsets in textbatch.slices(batch.column(1), 4 << 20):
+        for at, to, body, offsets in textbatch.slices(batch.column(1)):
             found = codes(body, offsets)
             of_byte = np.repeat(lang[at:to], np.diff(offsets))
             for k in np.unique(lang[at:to]):
                 sums.setdefault(int(k), np.zeros(CODES, np.int64))
                 sums[int(k)] += np.bincount(found[of_byte == k], minlength=CODES)
-    for k, n in sums.items():
+    while sums:
+        k, n = sums.popitem()
         seen = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(len(seen), k, np.int32)), pa.array(seen.astype(np.int32)), pa.array(n[seen])], ["model", "code", "n"]
         )
+    worker.trim()
 
 
 def counted(docs: DataFrame) -> DataFrame:
@@ -168,6 +173,11 @@ class Models:
             own[int(k)] = KneserNey.of(code[rows], n[rows])
         return cls(own, uuid.uuid4().hex)
 
+    @classmethod
+    def forget(cls) -> None:
+        cls._made = {}
+        ByteModels.forget()
+
     def scores(self, k: int) -> np.ndarray:
         if Models._made.get("name") != self.name:
             Models._made = {"name": self.name}
@@ -182,6 +192,9 @@ class Models:
         return np.array([*self.models], np.int32)[np.where(allowed, sums, np.iinfo(np.int64).min).argmax(1)]
 
 
+worker.keeps("perplexity", Models.forget)
+
+
 class Measures:
     """The models of classes, for a text's language, and of bytes, for its perplexity."""
 
@@ -196,7 +209,7 @@ class Measures:
         """By the model of a text's language the mean negative log-likelihood per byte and that of marks per word, and which model that is; NaN for an empty text."""
         out, which = np.full((2, len(text)), np.nan), np.full(len(text), -1, np.int32)
         languages = self.whole.languages
-        for at, to, body, offsets in textbatch.slices(text, 4 << 20):
+        for at, to, body, offsets in textbatch.slices(text, 3 << 18):
             full = np.flatnonzero(np.diff(offsets))
             if not len(full):
                 continue
@@ -254,25 +267,19 @@ def _measured(models: Measures):
 
     @F.arrow_udf("struct<" + ", ".join(f"{n}: long" for n in RESULTS) + ", nats: double, marks: double, model: int>")
     def measure(text: pa.Array) -> pa.Array:
+        worker.enter("perplexity")
         rows = np.zeros((len(text), len(RESULTS)), np.int64)
         for i, t in enumerate(text.cast(pa.binary())):
             if t.is_valid:
                 rows[i] = counts(t.as_py())
         nats, marks, which = models.nats(text)
+        worker.trim()
         columns = [pa.array(rows[:, k]) for k in range(len(RESULTS))] + [pa.array(x, mask=np.isnan(x)) for x in (nats, marks)] + [pa.array(which)]
         return pa.StructArray.from_arrays(columns, fields=[pa.field(n, t) for n, t in fields])
 
     return measure
 
 
-def measured(docs: DataFrame, models: Measures) -> DataFrame:
-    """docs with the counts, base_failed, nats (log-perplexity), marks and model of each text."""
-    out = docs.withColumn("_m", _measured(models)(F.col("text")))
-    out = out.withColumns({n: F.col(f"_m.{n}") for n in (*RESULTS, "nats", "marks", "model")}).drop("_m")
-    short = F.col("n_words") < MIN_WORDS
-    return out.withColumn("base_failed", short | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
-
-
 def histogram(found: DataFrame) -> DataFrame:
     """model, marks, bin, n over measured rows with words enough for the base rules; of nats, or of marks."""
     both = F.explode(F.array(*(F.struct(F.lit(m).alias("marks"), F.rint(F.col(n) * BINS).cast("int").alias("bin")) for m, n in ((False, "nats"), (True, "marks")))))
@@ -304,20 +311,29 @@ def _median(weighted: list) -> float:
 
 
 def judged(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """docs (or their columns in keep) with the counts, base_failed, perplexity and kept.
+    """docs (or their columns in keep) with the counts, base_failed, kept and perplexity.
 
     The measured rows are written, so that texts are scored once.
     """
-    out = measured(docs, Measures.fitted(docs))
-    own = [c for c in out.columns if keep is None or c in keep or c not in docs.columns or c in RESULTS + ("nats", "marks", "model", "base_failed")]
-    out = shared.written(out.select(own), "measured")
-    rows = [tuple(r) for r in histogram(out).collect()]
+    own = shared.free(docs, "_measures")
+    results = {n.lower() for n in (*RESULTS, "base_failed", "kept", "perplexity")}
+    names = [c for c in (docs.columns if keep is None else keep) if c.lower() not in results]
+    scored = docs.select(*(F.col(f"`{c}`") for c in names), _measured(Measures.fitted(docs))(F.col("text")).alias(own))
+    out = shared.written(scored, "measured")
+    rows = [tuple(r) for r in histogram(out.select(f"{own}.*")).collect()]
     found, most = (bands((k, at, n) for k, marks, at, n in rows if marks == of) for of in (False, True))
+    m = F.col(own)
     inside = F.lit(False)
     for k, (low, high) in found.items():
-        inside = inside | ((F.col("model") == k) & F.col("nats").between(low, high) & (F.col("marks") <= most[k][1]))
-    out = out.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False)))
-    return out.withColumn("perplexity", F.exp("nats")).drop("nats", "marks", "model")
+        inside = inside | ((m["model"] == k) & m["nats"].between(low, high) & (m["marks"] <= most[k][1]))
+    failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEAT_PERCENT * m["n_words"])
+    return out.select(
+        *(F.col(f"`{c}`") for c in names),
+        *(m[n].alias(n) for n in RESULTS),
+        failed.alias("base_failed"),
+        (~failed & F.coalesce(inside, F.lit(False))).alias("kept"),
+        F.exp(m["nats"]).alias("perplexity"),
+    )
 
 
 def kept(docs: DataFrame) -> DataFrame:

@@ -11,10 +11,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: the session's spark.checkpoint.dir.
 
-    Only where the session names none (as in tests) is one made and set.
+    Only where the session names none and runs on this machine (as in tests) is one made and
+    set; on a cluster other executors couldn't see it, so there it is an error.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidelog-shared-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
@@ -68,7 +71,7 @@ def discard(df: DataFrame) -> None:
 
 
 #: Rows and bytes of an Arrow batch, so that a worker's memory doesn't follow the texts' length.
-BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 2 << 20
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -35,8 +35,13 @@ def enter(operator: str) -> None:
 
 
 def release() -> None:
-    """Give memory that nothing uses back to the system."""
+    """Let go of what nothing refers to, and give its memory back."""
     gc.collect()
+    trim()
+
+
+def trim() -> None:
+    """Give freed memory back to the system, as an idle worker may stay for long beside others' work."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
