@@ -20,6 +20,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays."""
+    shared.small_batches(spark)
     return neardup.deduplicated(docs)
 
 
@@ -30,11 +31,13 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced in the texts."""
+    shared.small_batches(spark)
     return pii.redacted(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The texts' token ids (little-endian unsigned 32-bit integers) and their number."""
+    shared.small_batches(spark)
     return bpe.encoded(docs)
 
 
@@ -52,6 +55,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
         docs = shared.written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before is not None:
+            shared.discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
