@@ -17,15 +17,20 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def training_texts(docs: DataFrame, labels: DataFrame, label: str, bound: int = TRAINING_ROWS) -> DataFrame:
-    """doc_id, text, label of at most bound labelled rows outside the held-out fold.
+    """doc_id (as text), text, label of at most bound labelled ids outside the held-out fold.
 
-    Rows with a null id, text or label are no labelled rows. The sample is broadcast: it
-    has two numbers a row and bound rows at most.
+    Rows with a null id, text or label are no labelled rows. An id has one row, however often it
+    occurs: of several labels the least, of several texts that of the least hash, so the sample
+    never has more than bound rows. The chosen ids are broadcast: bound of them at most.
     """
     chosen = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
         .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out())
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
+        .groupBy("doc_id")
+        .agg(F.min("label").alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(bound)
     )
-    return docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
+    one = texts.groupBy("doc_id", "label").agg(F.min_by("text", F.md5("text")).alias("text"))
+    return one.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "label")

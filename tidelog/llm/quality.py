@@ -8,7 +8,7 @@ probability. Labels come from a bounded sample of labelled rows outside the held
 id, language, source and labels are never inputs.
 
 Defined results: null and empty texts have no n-grams and score by the offset alone; a null
-doc_id isn't held out; repeated rows score alike; without labels of both classes the score
+doc_id isn't held out; repeated rows score alike, ties and texts of any length as all others; without labels of both classes the score
 is their share, or one half; columns of the input named like a result are replaced, all
 others kept; an empty table stays empty.
 """
@@ -99,11 +99,12 @@ def fit(rows: list[tuple[int, np.ndarray]], seed: int = 5) -> tuple[np.ndarray,
         share = (y.sum() + 1) / (len(y) + 2)
         return np.zeros(FEATURES, np.float32), 0.0, 1.0, float(np.log(share / (1 - share)))
     sign = np.where(y > 0, 1.0, -1.0)
+    fold = np.arange(len(rows)) % 5 == 0  # for calibration, of which nothing else is learned
     counts = np.full((2, FEATURES), SMOOTHING)
-    for label, found in rows:
-        counts[label, found] += 1
+    for (label, found), held in zip(rows, fold):
+        if not held:
+            counts[label, found] += 1
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
-    fold = np.arange(len(rows)) % 5 == 0  # for calibration
     weights, offset = _descent([(sign[i], rows[i][1]) for i in np.flatnonzero(~fold)], ratio, seed)
     margins = np.array([_margin(weights, offset, rows[i][1]) for i in np.flatnonzero(fold)])
     slope, intercept = platt(margins, y[fold].astype(float))
@@ -156,7 +157,7 @@ def _scorer(model):
 def fitted(docs: DataFrame, labels: DataFrame, bound: int = labelled.TRAINING_ROWS):
     """The model from at most bound labelled texts, whose feature numbers are collected."""
     sample = labelled.training_texts(docs, labels, "quality", bound).select("label", "text", "doc_id")
-    found = sample.mapInArrow(_feature_rows_with_id, "label int, found binary, doc_id long").collect()
+    found = sample.mapInArrow(_feature_rows_with_id, "label int, found binary, doc_id string").collect()
     rows = sorted((r.doc_id, r.label, bytes(r.found)) for r in found)
     return fit([(label, np.frombuffer(f, "<i4")) for _, label, f in rows])
 

@@ -8,7 +8,7 @@ fitted by AdaGrad on log loss over a bounded sample of labelled rows outside the
 fold; id, language, source and labels are never inputs.
 
 Defined results: null and empty texts have no terms and score by the offset alone; a null
-doc_id isn't held out; repeated rows score alike; without labels of both classes the score
+doc_id isn't held out; repeated rows score alike, ties and texts of any length as all others; without labels of both classes the score
 is their share, or one half; columns of the input named like a result are replaced, all
 others kept; an empty table stays empty.
 """
@@ -105,22 +105,22 @@ def fit(rows: list[tuple[int, np.ndarray]], seed: int = 11) -> Machine:
     w, v = np.zeros(len(used)), rng.normal(0, 0.03, (len(used), FACTORS)) * step[:, None]
     b = float(np.log(y.mean() / (1 - y.mean())))
     gw, gv, gb = np.full(len(used), 1e-2), np.full(v.shape, 1e-2), 1e-2
-    train = np.flatnonzero(~fold)
+    order = rng.permutation(np.flatnonzero(~fold))
+    batches = [_batch(xs, order[i : i + BATCH]) for i in range(0, len(order), BATCH)]
     for _ in range(EPOCHS):
-        order = rng.permutation(train)
-        for i in range(0, len(order), BATCH):
-            picked = order[i : i + BATCH]
-            at = np.concatenate([xs[j] for j in picked])
-            who = np.repeat(np.arange(len(picked)), [len(xs[j]) for j in picked])
-            n = len(picked)
-            sums = np.stack([np.bincount(who, v[at, f], minlength=n) for f in range(FACTORS)], 1)
-            squares = np.bincount(who, (v[at] ** 2).sum(1), minlength=n)
+        for k in rng.permutation(len(batches)):
+            picked, at, who, here, by_term, first = batches[k]
+            n, own = len(picked), v[at]
+            sums = np.stack([np.bincount(who, own[:, f], minlength=n) for f in range(FACTORS)], 1)
+            squares = np.bincount(who, np.einsum("ij,ij->i", own, own), minlength=n)
             margin = b + np.bincount(who, w[at], minlength=n) + 0.5 * ((sums**2).sum(1) - squares)
             slope = (1 / (1 + np.exp(-np.clip(margin, -35, 35))) - y[picked]) / n
-            here, inverse = np.unique(at, return_inverse=True)
-            dw = np.bincount(inverse, slope[who], minlength=len(here)) + PENALTY / 10 * w[here]
-            pull = slope[who][:, None] * (sums[who] - v[at])
-            dv = np.stack([np.bincount(inverse, pull[:, f], minlength=len(here)) for f in range(FACTORS)], 1) + PENALTY * v[here]
+            if not len(here):
+                continue
+            each = slope[who[by_term]]
+            totals = np.add.reduceat(each, first)
+            dw = totals + PENALTY / 10 * w[here]
+            dv = np.add.reduceat((slope[:, None] * sums)[who[by_term]], first, axis=0) + (PENALTY - totals[:, None]) * v[here]
             gw[here] += dw**2
             gv[here] += dv**2
             gb += slope.sum() ** 2
@@ -135,6 +135,15 @@ def fit(rows: list[tuple[int, np.ndarray]], seed: int = 11) -> Machine:
     return machine
 
 
+def _batch(xs: list[np.ndarray], picked: np.ndarray) -> tuple:
+    """Rows, their terms and whose they are; the terms in order, the places that sort them and where each one's start."""
+    at = np.concatenate([xs[j] for j in picked])
+    who = np.repeat(np.arange(len(picked), dtype=np.int32), [len(xs[j]) for j in picked])
+    by_term = np.argsort(at, kind="stable").astype(np.int32)
+    here, first = np.unique(at[by_term], return_index=True)
+    return picked, at.astype(np.int32), who, here, by_term, first
+
+
 def _frequent(rows) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of rows enough, whatever the labels, as a term may count only beside another; and their G statistics."""
     n = np.zeros((2, BUCKETS))
@@ -165,7 +174,7 @@ def _feature_rows(batches):
 def fitted(docs: DataFrame, labels: DataFrame, bound: int = labelled.TRAINING_ROWS) -> Machine:
     """The machine from at most bound labelled texts, whose buckets are collected."""
     sample = labelled.training_texts(docs, labels, "toxic", bound)
-    found = sample.mapInArrow(_feature_rows, "doc_id long, label int, found binary").collect()
+    found = sample.mapInArrow(_feature_rows, "doc_id string, label int, found binary").collect()
     rows = sorted((r.doc_id, r.label, bytes(r.found)) for r in found)
     return fit([(label, np.frombuffer(f, "<i4")) for _, label, f in rows])
 
